@@ -27,7 +27,7 @@ from marlspike.llm.common import chunked, texts
 
 MARK = "▁"
 #: Units remembered by a worker, and the longest unit worth remembering.
-REMEMBERED, LONGEST = 300_000, 64
+REMEMBERED, LONGEST = 200_000, 64
 
 
 @lru_cache(maxsize=4)
@@ -39,7 +39,7 @@ def _model(path: str) -> tuple:
     splits = not any(MARK in p.lstrip(MARK) for p in pieces) and sp.encode("a b", out_type=str) == [
         *sp.encode("a", out_type=str), *sp.encode("b", out_type=str),
     ]
-    return sp, splits, {}
+    return sp, splits, [{}, {}]  # lengths of units met of late, and before
 
 
 _SAFE = re.compile(f"(?<=[^ {MARK}]) ")
@@ -56,22 +56,21 @@ def units(text: str, splits: bool = True) -> list[str]:
 
 def count_batch(rows: list[str], path: str) -> list[int]:
     """Token counts of a batch of texts."""
-    sp, splits, known = _model(path)
+    sp, splits, tables = _model(path)
     parts = [units(t, splits) for t in rows]
-    new = list(set().union(*parts).difference(known))
-    if new:
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = list(set().union(*parts))
-        lengths = dict(zip(new, map(len, sp.encode(new, num_threads=1))))
-        # A final space leaves an empty unit, which stands for a lone space mark; the empty text has none.
-        lengths.update({u: 1 for u in new if not u})
-        kept = {u: n for u, n in lengths.items() if len(u) <= LONGEST}
-        known.update(kept)
-        get = known.__getitem__ if len(kept) == len(lengths) else {**lengths, **{u: known[u] for p in parts for u in p if u in known}}.__getitem__
-    else:
-        get = known.__getitem__
-    return [sum(map(get, p)) if t else 0 for t, p in zip(rows, parts)]
+    if len(tables[0]) > REMEMBERED:
+        tables[:] = [{}, tables[0]]
+    known, older = tables
+    new = set().union(*parts).difference(known)
+    known.update({u: older[u] for u in new.intersection(older)})
+    fresh = list(new.difference(known))
+    known.update(zip(fresh, map(len, sp.encode(fresh, num_threads=1))))
+    known[""] = 1  # what a final space leaves: a lone space mark; only the empty text has no token
+    out = [sum(map(known.__getitem__, p)) if t else 0 for t, p in zip(rows, parts)]
+    for u in fresh:
+        if len(u) > LONGEST:
+            del known[u]
+    return out
 
 
 def counter(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
