@@ -7,30 +7,74 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marlspike.llm import bpe, media, token_counts
+from marlspike.llm import bpe, exact_dedup, media, mixing, sharding, simhash, suffix_dedup, token_counts, toxicity, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(_documents(spark, sf_dir))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(_documents(spark, sf_dir)).drop("text_sha256")
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    return warc.derivatives(warc.responses(pages)).drop("metadata_record", "conversion_record")
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return bpe.bpe_encode(_documents(spark, sf_dir), path, want=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_groups(_documents(spark, sf_dir)).drop("_k1", "_k2")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(_documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
+
+
 def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_columns(_documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op5_bpe": op5_bpe,
-    "op8_token_counts": op8_token_counts,
-    "op10_media_columns": op10_media_columns,
-}
+    f.__name__: f
+    for f in (
+        op1_suffix_dedup, op2_sharding, op3_warc, op4_mixing, op5_bpe, op6_exact_dedup, op7_toxicity, op8_token_counts, op9_simhash,
+        op10_media_columns,
+    )
+}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_exact_dedup": r"""
+        WITH d AS (
+            SELECT doc_id, length(coalesce(text, '')) AS n,
+                   sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS h
+            FROM documents
+        )
+        SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY h) AS group_size,
+               doc_id = first_value(doc_id) OVER w AS kept, h AS text_sha256
+        FROM d WINDOW w AS (PARTITION BY h ORDER BY n DESC, doc_id)
+    """,
+}
