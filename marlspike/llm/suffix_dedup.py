@@ -15,9 +15,9 @@ segment, and there are few of them (one for about 170 bytes).
    suffixes are sorted: a merge sort whose comparisons find the common extension of two
    suffixes by binary search over prefix polynomial hashes.  All merges of a batch run in step.
    Windows found equal are compared byte by byte before they count.
-4. An anchor may have any number of segments: beyond ``CROWD`` they are dealt to several sorts.
-   What a sort has not found repeated, and one of each class that it has, then meets the other
-   sorts' rows by digest, in an ordinary grouped count.
+4. An anchor may have any number of segments.  Beyond ``CROWD`` they are cut finer: into pieces of
+   at most 64, then 8, then 1 windows, filed under the bytes that all windows of such a piece
+   share.  Pieces are counted, and sorted, like segments; a piece of one window needs no sort.
 
 Cases: null and empty texts, and texts shorter than the window, keep all bytes; equal rows
 repeat each other; very long texts are cut into blocks with an overlap; matches never cross
@@ -39,8 +39,8 @@ from pyspark.sql import functions as F
 from marlspike.llm.common import materialise, row_key, utf8_buffer
 
 LENGTH, GRAM = 400, 64
-#: Bytes hashed together, and segments of one anchor that are sorted together.
-BLOCK, CROWD = 1 << 20, 512
+#: Bytes hashed together, segments of one anchor that are sorted together, and windows of a piece at each finer cut.
+BLOCK, CROWD, FINER = 1 << 20, 512, (64, 8, 1)
 _BASE = 0x9E3779B97F4A7C15
 _M = (1 << 64) - 1
 
@@ -143,27 +143,58 @@ def _segment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             )
 
 
+_PIECE = "_k1 long, _k2 long, anchor long, same long, known boolean, at long, count int, back int, crowd boolean, bytes binary"
+_FIELDS = ["anchor", "same", "known", "at", "count", "back", "crowd"]
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of the segments to sort, cut from their texts."""
-    names = ["anchor", "same", "deal", "known", "at", "count", "back", "crowd"]
     for batch in batches:
         data, offsets = utf8_buffer(batch.column("_text"))
         wanted = batch.column("wanted")
         rows = pc.list_parent_indices(wanted).to_numpy()
         flat = pc.list_flatten(wanted)
-        at, count = flat.field("at").to_numpy(), flat.field("count").to_numpy()
-        begin = offsets[rows] + at
+        begin = offsets[rows] + flat.field("at").to_numpy()
+        end = begin + flat.field("count").to_numpy() + LENGTH - 1
+        keys = [batch.column(k).to_numpy()[rows] for k in ("_k1", "_k2")]
         raw = data.tobytes()
         for x in range(0, len(rows), 4096):
             y = slice(x, x + 4096)
-            parts = [raw[s : s + n + LENGTH - 1] for s, n in zip(begin[y].tolist(), count[y].tolist())]
+            parts = [raw[s:e] for s, e in zip(begin[y].tolist(), end[y].tolist())]
             yield pa.RecordBatch.from_arrays(
-                [
-                    *(pa.array(batch.column(k).to_numpy()[rows[y]]) for k in ("_k1", "_k2")),
-                    *(flat.field(k).slice(x, 4096) for k in names), pa.array(parts, pa.binary()),
-                ],
-                ["_k1", "_k2", *names, "bytes"],
-            )
+                [*(pa.array(k[y]) for k in keys), *(flat.field(k).slice(x, 4096) for k in _FIELDS), pa.array(parts, pa.binary())], ["_k1", "_k2", *_FIELDS, "bytes"]
+            )
+
+
+def _finer(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Cuts pieces to windows whose distances from the anchor fall in one range of ``width``, filed under what those windows share."""
+    digest = xxhash.xxh3_64_intdigest
+    names = ["_k1", "_k2", "anchor", "same", "known", "at", "count", "back", "bytes"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x in range(0, batch.num_rows, 1024):
+                out: dict[str, list] = {n: [] for n in names}
+                part = batch.slice(x, 1024).select(names).to_pylist()
+                for r in part:
+                    last = r["back"] - r["count"] + 1  # distance of the last window
+                    for q in range(last // width, r["back"] // width + 1):
+                        high, low = min(r["back"], q * width + width - 1), max(last, q * width)
+                        j, n = r["back"] - high, high - low + 1
+                        piece = r["bytes"][j : j + n + LENGTH - 1]
+                        shared = r["bytes"][r["back"] - q * width : r["back"] - q * width - width + 1 + LENGTH]
+                        new = {
+                            "_k1": r["_k1"], "_k2": r["_k2"], "anchor": digest(shared, (r["anchor"] * 31 + q) & _M), "same": digest(piece), "known": r["known"],
+                            "at": r["at"] + j, "count": n, "back": high, "bytes": piece,
+                        }
+                        for k in names:
+                            out[k].append(new[k])
+                for k in ("anchor", "same"):
+                    out[k] = np.array(out[k], np.uint64).view(np.int64)
+                kinds = [pa.int64()] * 4 + [pa.bool_(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds)], names)
+
+    return run
 
 
 def extension(h: Hashes, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -259,20 +290,14 @@ def repeated(data: np.ndarray, at: np.ndarray, cell: np.ndarray) -> np.ndarray:
     return out
 
 
-_OUT = ["_k1", "_k2", "lo", "hi", "digest", "known"]
-
-
 def _sorted_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans of repeated windows, and from dealt groups one row for each window that other sorts must see.
-
-    Batches are ordered by anchor and deal; work is done on whole groups of at least a block.
-    """
+    """Spans of repeated windows.  Batches are ordered by anchor; work is done on whole groups of at least a block."""
 
     def work(t: pa.Table) -> Iterator[pa.RecordBatch]:
         col = {k: t.column(k).combine_chunks().to_numpy(zero_copy_only=False) for k in t.column_names if k != "bytes"}
         data, offsets = utf8_buffer(t.column("bytes").combine_chunks())
         count = col["count"].astype(np.int64)
-        group = np.cumsum(np.concatenate([[0], (np.diff(col["anchor"]) != 0) | (np.diff(col["deal"]) != 0)]))
+        group = np.cumsum(np.concatenate([[0], np.diff(col["anchor"]) != 0]))
         row = np.repeat(np.arange(len(count)), count)
         j = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
         at = offsets[row] + j
@@ -285,22 +310,9 @@ def _sorted_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         if len(mine):
             owner, first = np.unique(row[mine], return_index=True)
             last = np.append(first[1:], len(mine)) - 1
+            # All windows of a segment hold its anchor, so what lies between two repeated ones is covered.
             lo, hi = col["at"][owner] + j[mine[first]], col["at"][owner] + j[mine[last]] + LENGTH
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(col["_k1"][owner]), pa.array(col["_k2"][owner]), pa.array(lo), pa.array(hi), pa.nulls(len(owner), pa.binary()), pa.nulls(len(owner), pa.bool_())],
-                _OUT,
-            )
-        show = np.flatnonzero(col["crowd"][row] & (cls == np.arange(len(at))))
-        raw = data.tobytes()
-        for a in range(0, len(show), 1 << 15):
-            s = show[a : a + (1 << 15)]
-            r = row[s]
-            lo = col["at"][r] + j[s]
-            named = [hashlib.blake2b(raw[p : p + LENGTH], digest_size=16).digest() for p in at[s].tolist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(col["_k1"][r]), pa.array(col["_k2"][r]), pa.array(lo), pa.array(lo + LENGTH), pa.array(named, pa.binary()), pa.array(many[s] | col["known"][r])],
-                _OUT,
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (col["_k1"][owner], col["_k2"][owner], lo, hi)], ["_k1", "_k2", "lo", "hi"])
 
     held: list[pa.RecordBatch] = []
     size = 0
@@ -310,10 +322,7 @@ def _sorted_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         if size < BLOCK:
             continue
         t = pa.Table.from_batches(held)
-        anchor, deal = (t.column(k).to_numpy() for k in ("anchor", "deal"))
-        edge = np.flatnonzero((np.diff(anchor) != 0) | (np.diff(deal) != 0)) + 1
-        if not len(edge):
-            continue
+        edge = np.flatnonzero(np.diff(t.column("anchor").to_numpy())) + 1
         start = 0
         sizes = np.cumsum(np.concatenate([[0], t.column("count").to_numpy() + LENGTH - 1]))
         for e in edge.tolist():
@@ -321,35 +330,59 @@ def _sorted_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 yield from work(t.slice(start, e - start))
                 start = e
         held = t.slice(start).to_batches()
-        size = sum(b.column("bytes").nbytes for b in held)
+        size = int(sizes[-1] - sizes[start])
     if held:
         yield from work(pa.Table.from_batches(held))
 
 
+def _span(df: DataFrame) -> DataFrame:
+    return df.select("_k1", "_k2", F.col("at").alias("lo"), (F.col("at") + F.col("count") + LENGTH - 1).alias("hi"))
+
+
+def _sort_groups(pieces: DataFrame) -> DataFrame:
+    dealt = pieces.repartition("anchor").sortWithinPartitions("anchor")
+    return dealt.mapInArrow(_sorted_spans, "_k1 long, _k2 long, lo long, hi long")
+
+
+def _kinds(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct segments by anchor and bytes, and the anchors of several of them with how many.
+
+    Both are written out, so that joins on a frequent anchor can be split.
+    """
+    one = F.min(F.struct("_k1", "_k2", "at", "count", "back")).alias("one")
+    kinds = members.groupBy("anchor", "same").agg(((F.count(F.lit(1)) > 1) | F.max("known")).alias("known"), (F.count(F.lit(1)) > 1).alias("twice"), one)
+    kinds = materialise(kinds, "kinds")
+    return kinds, materialise(kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("width")).filter("width > 1"), "widths")
+
+
 def repeated_spans(rows: DataFrame) -> DataFrame:
     """Spans (``_k1``, ``_k2``, ``lo``, ``hi``) of repeated bytes of the texts of ``rows`` (``_k1``, ``_k2``, ``_text``)."""
     schema = "anchor long, same long, _k1 long, _k2 long, at long, count int, back int"
     every = materialise(rows.mapInArrow(_segment_rows, schema), "segments")
-    often = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
-    some = materialise(every.join(often, "anchor", "left_semi"), "repeated")
-    kinds = some.groupBy("anchor", "same").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("_k1", "_k2", "at", "count", "back")).alias("one"))
-    kinds = materialise(kinds, "kinds")
-    copies = kinds.filter("n > 1").select("anchor", "same")
-    plain = some.join(copies, ["anchor", "same"], "left_semi").select("_k1", "_k2", F.col("at").alias("lo"), (F.col("at") + F.col("count") + LENGTH - 1).alias("hi"))
-    width = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("width")).filter("width > 1")
-    deals = F.ceil(F.col("width") / CROWD).cast("int")
-    sort = kinds.join(width, "anchor").select(
-        "one.*", "anchor", "same", F.pmod(F.xxhash64("same"), deals).cast("int").alias("deal"), (F.col("n") > 1).alias("known"), (deals > 1).alias("crowd")
-    )
-    wanted = sort.groupBy("_k1", "_k2").agg(F.collect_list(F.struct("anchor", "same", "deal", "known", "at", "count", "back", "crowd")).alias("wanted"))
-    schema = "_k1 long, _k2 long, anchor long, same long, deal int, known boolean, at long, count int, back int, crowd boolean, bytes binary"
-    pieces = rows.join(wanted, ["_k1", "_k2"]).mapInArrow(_cut, schema)
-    pieces = pieces.repartition(F.col("anchor"), F.col("deal")).sortWithinPartitions("anchor", "deal")
-    found = materialise(pieces.mapInArrow(_sorted_spans, "_k1 long, _k2 long, lo long, hi long, digest binary, known boolean"), "sorted")
-    across = found.filter("digest is not null")
-    twice = across.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest")
-    met = across.filter("not known").join(twice, "digest", "left_semi").select("_k1", "_k2", "lo", "hi")
-    return plain.unionByName(found.filter("digest is null").select("_k1", "_k2", "lo", "hi")).unionByName(met)
+    often = materialise(every.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "often")
+    some = materialise(every.join(often, "anchor", "left_semi").withColumn("known", F.lit(False)), "repeated")
+    kinds, widths = _kinds(some)
+    spans = [_span(some.join(kinds.filter("twice").select("anchor", "same"), ["anchor", "same"], "left_semi"))]
+    sort = kinds.join(widths, "anchor").select("one.*", "anchor", "same", "known", (F.col("width") > CROWD).alias("crowd"))
+    wanted = sort.groupBy("_k1", "_k2").agg(F.collect_list(F.struct(*_FIELDS)).alias("wanted"))
+    pieces = materialise(rows.join(wanted, ["_k1", "_k2"]).mapInArrow(_cut, _PIECE), "pieces")
+    spans.append(_sort_groups(pieces.filter("not crowd")))
+    for width in FINER:
+        crowd = pieces.filter("crowd")
+        if crowd.isEmpty():
+            break
+        fine = materialise(crowd.drop("crowd").mapInArrow(_finer(width), _PIECE.replace(" crowd boolean,", "")), "finer")
+        kinds, widths = _kinds(fine)
+        repeats = kinds.filter("twice").select("anchor", "same")
+        spans.append(_span(fine.filter("not known").join(repeats, ["anchor", "same"], "left_semi")))
+        sort = kinds.join(widths, "anchor").select(*(F.col(f"one.{k}").alias(k) for k in ("_k1", "_k2", "at")), "anchor", "same", F.col("known").alias("_known"), (F.col("width") > CROWD).alias("crowd"))
+        pieces = fine.join(sort, ["anchor", "same", "_k1", "_k2", "at"]).withColumn("known", F.col("_known")).drop("_known")
+        pieces = materialise(pieces, "pieces")
+        spans.append(_sort_groups(pieces.filter("not crowd")))
+    out = spans[0]
+    for more in spans[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -386,6 +419,3 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     by_row = spans.distinct().groupBy("_k1", "_k2").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     schema = f"_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<lo:long,hi:long>>, kept binary"
     return rows.join(by_row, ["_k1", "_k2"], "left").mapInArrow(_remove, schema).withColumnRenamed("_id", id_col)
-
-
-Mapper = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
