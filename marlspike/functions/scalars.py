@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def usable(x: Column) -> Column:
@@ -42,14 +43,14 @@ def cost(dw: Column, bps: Column | float, multiplier: Column | float = 1.0) -> C
     return -(bps * multiplier / 10_000.0) * F.abs(dw)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def normal_cdf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Normal distribution function; meant for one row a strategy, Spark having no error function."""
     for x in batches:
         yield x.map(lambda v: 0.5 * math.erfc(-v / math.sqrt(2)), na_action="ignore").astype(float)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def normal_quantile(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Inverse of :func:`normal_cdf`, null outside 0 to 1."""
     from statistics import NormalDist

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from marlspike.functions.scalars import trend_sign
 from marlspike.operators.portfolio import PortfolioParams, build_weights
+from marlspike.sources.shared import settle
 
 
 @dataclass(frozen=True)
@@ -85,6 +86,7 @@ def week_results(weights: DataFrame, returns: DataFrame, costs: DataFrame, calen
     without a book the next is bought from nothing.
     """
     key = [*by, "return_week"]
+    weights = settle(weights, "books")
     now = weights.select(*key, "symbol", F.col("weight").alias("w1"))
     follows = _recorded(weights, calendar, by)
     # The book before, placed at the week that follows it, so both books meet in one grouped sum.

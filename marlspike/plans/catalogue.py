@@ -14,6 +14,7 @@ from marlspike.plans.sql import (
 )
 from marlspike.sources import market
 from marlspike.sources.landing import SeriesSource, backfill, parse_candles, parse_chart, parse_eod, parse_metric_pages, parse_observations, split_missing
+from marlspike.sources.shared import settle
 from marlspike.sources.tables import merged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +51,11 @@ def _returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.weekly_returns(candles.weekly_candles(prices), market.actions(prices), rate).withColumn("is_capped", F.col("symbol") == market.CAPPED)
 
 
+def _books_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Returns that a backtest reads many times."""
+    return settle(_returns(spark, sf_dir), "returns")
+
+
 OHLC = ", ".join(r(c) for c in ("open", "high", "low", "close", "volume"))
 
 
@@ -338,7 +344,7 @@ def _all_signals(returns: DataFrame) -> DataFrame:
     )
 )
 def momentum_backtest(spark, sf_dir):
-    rows = _returns(spark, sf_dir)
+    rows = _books_input(spark, sf_dir)
     return rounded(backtest.backtest(_all_signals(rows), rows, _costs(spark), multipliers=(1.0, 1.5, 2.0)))
 
 
@@ -385,13 +391,13 @@ HISTORY = _fixed(
 
 @registered(query(FIXED_COLS, BARS, WEEKS, ACTIONS, SERIES, RETURNS, FOLDS, COSTS, HOLD))
 def baseline_hold(spark, sf_dir):
-    rows = _returns(spark, sf_dir)
+    rows = _books_input(spark, sf_dir)
     return rounded(backtest.baseline_hold(rows, _folds(rows), _costs(spark)))
 
 
 @registered(query(FIXED_COLS, BARS, WEEKS, ACTIONS, SERIES, RETURNS, FOLDS, COSTS, HISTORY))
 def baseline_history(spark, sf_dir):
-    rows = _returns(spark, sf_dir)
+    rows = _books_input(spark, sf_dir)
     return rounded(backtest.baseline_history(rows, _folds(rows), _costs(spark)))
 
 
@@ -417,7 +423,7 @@ po AS (SELECT fold, week_start AS return_week, we * coalesce(e_x, 0) + wb * coal
     )
 )
 def baseline_passive(spark, sf_dir):
-    rows = _returns(spark, sf_dir)
+    rows = _books_input(spark, sf_dir)
     return rounded(backtest.baseline_passive(rows, _folds(rows), _costs(spark), PASSIVE))
 
 
@@ -435,7 +441,7 @@ st AS (SELECT count(*) AS n, avg(net) AS m, stddev_samp(net) AS sd, stddev_samp(
     )
 )
 def performance(spark, sf_dir):
-    rows = _returns(spark, sf_dir)
+    rows = _books_input(spark, sf_dir)
     done = backtest.backtest(_all_signals(rows), rows, _costs(spark)).withColumn("_all", F.lit(1))
     return rounded(stats.period_stats(done, ["_all"]).drop("_all"))
 
@@ -472,7 +478,7 @@ tk AS (SELECT p.mask, count(*) FILTER (p.outside > q.outside) + 1 AS rank FROM t
 
 
 def _trials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _returns(spark, sf_dir).filter("excess_return is not null").select("week_start", F.col("symbol").alias("trial"), F.col("excess_return").alias("r"))
+    rows = _books_input(spark, sf_dir).filter("excess_return is not null").select("week_start", F.col("symbol").alias("trial"), F.col("excess_return").alias("r"))
     full = rows.groupBy("week_start").agg(F.count(F.lit(1)).alias("n")).filter("n = 5")
     return rows.join(full, "week_start", "left_semi").withColumnRenamed("week_start", "t")
 
@@ -757,8 +763,8 @@ def shared_dates(spark, sf_dir):
 
 def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All strategies, folds and cost multipliers as one long frame of aligned weeks."""
-    rows, costs, mult = _returns(spark, sf_dir), _costs(spark), (1.0, 1.5, 2.0)
-    folds = _folds(rows)
+    rows, costs, mult = _books_input(spark, sf_dir), _costs(spark), (1.0, 1.5, 2.0)
+    folds = settle(_folds(rows), "folds")
     tests = folds.filter("role = 'test'").select("fold", F.col("week_start").alias("return_week"))
     momentum = backtest.backtest(_all_signals(rows), rows, costs, multipliers=mult).join(tests, "return_week")
     each = {
@@ -771,7 +777,7 @@ def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, df in each.items():
         part = df.select(F.lit(name).alias("strategy"), "fold", "cost_mult", "return_week", "gross", "net", "turnover")
         out = part if out is None else out.unionByName(part)
-    return backtest.aligned(out, ["fold", "cost_mult"], len(each))
+    return settle(backtest.aligned(settle(out, "weeks"), ["fold", "cost_mult"], len(each)), "grid")
 
 
 @registered()
