@@ -164,15 +164,22 @@ def baseline_passive(
 
     Within a block the weight before normalising is the target times the product of the growths so far,
     so the drift is a running product, not a recursion.  Only symbols with a row in a block's first
-    week are held in it; costs fall due in that week, against the drifted book before it.
+    week are held in it; costs fall due in that week, against the drifted book before it.  A block that
+    is due waits for a week in which any target has a row; if there is none in a fold's first week, the
+    first block begins after a whole period has passed.
     """
     tests = folds.filter("role = 'test'").select("fold", F.col("week_start").alias("return_week"))
-    along = Window.partitionBy("fold").orderBy("return_week")
-    weeks = tests.withColumn("i", F.row_number().over(along) - 1).withColumn("block", F.floor(F.col("i") / rebalance)).withColumn("step", F.col("i") % rebalance)
+    weeks = tests.withColumn("i", F.row_number().over(Window.partitionBy("fold").orderBy("return_week")) - 1)
+    found = returns.filter(F.col("symbol").isin(list(targets))).select("symbol", F.col("week_start").alias("return_week"), "simple_return", "excess_return", F.lit(True).alias("_there"))
+    calendar = weeks.join(found.select("return_week").distinct().withColumn("_any", F.lit(True)), "return_week", "left")
+    listed = calendar.groupBy("fold").agg(F.sort_array(F.collect_list(F.struct("i", F.coalesce("_any", F.lit(False)).alias("any")))).alias("w"))
+    due = f"""aggregate(w, struct(0 as since, cast(array() as array<int>) as starts), (a, x) ->
+        if(x.i = 0 or a.since >= {rebalance}, if(x.any, struct(1 as since, concat(a.starts, array(x.i)) as starts), a), struct(a.since + 1 as since, a.starts as starts)), a -> a.starts)"""
+    starts = listed.select("fold", F.posexplode(F.expr(due)).alias("block", "start"))
+    steps = starts.select("fold", "block", F.posexplode(F.sequence("start", F.col("start") + (rebalance - 1))).alias("step", "i"))
+    weeks = settle(weeks.join(steps, ["fold", "i"]), "blocks")
     pairs = F.explode(F.map_from_arrays(F.array(*map(F.lit, targets)), F.array(*(F.lit(float(x)) for x in targets.values()))))
-    grid = weeks.select("*", pairs.alias("symbol", "target"))
-    found = returns.select("symbol", F.col("week_start").alias("return_week"), "simple_return", "excess_return", F.lit(True).alias("_there"))
-    rows = grid.join(found, ["symbol", "return_week"], "left")
+    rows = weeks.select("*", pairs.alias("symbol", "target")).join(found, ["symbol", "return_week"], "left")
     block = Window.partitionBy("fold", "block", "symbol").orderBy("step")
     rows = rows.withColumn("_in", F.first(F.coalesce("_there", F.lit(False))).over(block)).filter("_in")
     growth = F.log1p(F.coalesce("simple_return", F.lit(0.0)))
@@ -180,15 +187,15 @@ def baseline_passive(
     rows = rows.withColumns({"_start": F.col("target") * F.exp(so_far), "_end": F.col("target") * F.exp(so_far + growth)})
     week = Window.partitionBy("fold", "return_week")
     rows = rows.withColumns({"weight": F.col("_start") / F.sum("_start").over(week), "_drifted": F.col("_end") / F.sum("_end").over(week)})
-    gross = rows.groupBy("fold", "return_week", "step").agg(F.sum(F.col("weight") * F.coalesce("excess_return", F.lit(0.0))).alias("gross"))
+    gross = rows.groupBy("fold", "return_week").agg(F.sum(F.col("weight") * F.coalesce("excess_return", F.lit(0.0))).alias("gross"))
     bought = rows.filter("step = 0").select("fold", "block", "symbol", F.col("weight").alias("w1"))
     last = rows.filter(F.col("step") == rebalance - 1).select("fold", (F.col("block") + 1).alias("block"), "symbol", F.col("_drifted").alias("w0"))
     moved = bought.unionByName(last, allowMissingColumns=True).groupBy("fold", "block", "symbol").agg(
         F.abs(F.coalesce(F.sum("w1"), F.lit(0.0)) - F.coalesce(F.sum("w0"), F.lit(0.0))).alias("moved")
     )
     paid = moved.join(costs, "symbol").groupBy("fold", "block").agg(F.sum("moved").alias("turnover"), F.sum(-F.col("moved") * F.col("bps") / 10_000.0).alias("cost"))
-    starts = weeks.filter("step = 0").select("fold", "block", "return_week").join(paid, ["fold", "block"]).drop("block")
-    out = gross.drop("step").join(starts, ["fold", "return_week"], "left")
+    first = weeks.filter("step = 0").select("fold", "block", "return_week").join(paid, ["fold", "block"]).drop("block")
+    out = gross.join(first, ["fold", "return_week"], "left")
     out = out.withColumns({"turnover": F.coalesce("turnover", F.lit(0.0)), "cost": F.coalesce("cost", F.lit(0.0))})
     return with_costs(out, multipliers)
 

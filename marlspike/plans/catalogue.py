@@ -404,16 +404,21 @@ def baseline_history(spark, sf_dir):
 PASSIVE = {"2-HIGH": 0.6, "3-MEDIUM": 0.4}
 DRIFT = """
 pn AS (SELECT fold, week_start, row_number() OVER (PARTITION BY fold ORDER BY week_start) - 1 AS i FROM folds WHERE role = 'test'),
-pd AS (SELECT p.*, e.simple_return AS e_s, e.excess_return AS e_x, b.simple_return AS b_s, b.excess_return AS b_x FROM pn p
-       LEFT JOIN returns e ON e.symbol = '2-HIGH' AND e.week_start = p.week_start LEFT JOIN returns b ON b.symbol = '3-MEDIUM' AND b.week_start = p.week_start),
-pr AS (SELECT fold, i, week_start, 0.6e0 AS we, 0.4e0 AS wb, 0e0 AS pe, 0e0 AS pb, e_s, e_x, b_s, b_x FROM pd WHERE i = 0
+pd AS (SELECT p.*, CASE WHEN e.symbol IS NULL THEN 0e0 ELSE 1e0 END AS ae, CASE WHEN b.symbol IS NULL THEN 0e0 ELSE 1e0 END AS ab,
+              1 + coalesce(e.simple_return, 0) AS ge, coalesce(e.excess_return, 0) AS xe, 1 + coalesce(b.simple_return, 0) AS gb, coalesce(b.excess_return, 0) AS xb
+       FROM pn p LEFT JOIN returns e ON e.symbol = '2-HIGH' AND e.week_start = p.week_start LEFT JOIN returns b ON b.symbol = '3-MEDIUM' AND b.week_start = p.week_start),
+p0 AS (SELECT *, CASE WHEN ae + ab > 0 THEN 0.6e0 * ae / (0.6e0 * ae + 0.4e0 * ab) ELSE 0e0 END AS te, CASE WHEN ae + ab > 0 THEN 0.4e0 * ab / (0.6e0 * ae + 0.4e0 * ab) ELSE 0e0 END AS tb FROM pd),
+pr AS (SELECT fold, i, week_start, te AS we, tb AS wb, ae + ab > 0 AS held, te + tb AS turnover, (te * 5e0 + tb * 4e0) / -10000 AS cost, te * xe + tb * xb AS gross,
+              CASE WHEN ae + ab > 0 THEN 1 ELSE 0 END AS since,
+              CASE WHEN ae + ab > 0 THEN te * ge / (te * ge + tb * gb) ELSE 0e0 END AS qe, CASE WHEN ae + ab > 0 THEN tb * gb / (te * ge + tb * gb) ELSE 0e0 END AS qb FROM p0 WHERE i = 0
        UNION ALL
-       SELECT d.fold, d.i, d.week_start, CASE WHEN d.i % 52 = 0 THEN 0.6e0 ELSE q.ge / (q.ge + q.gb) END, CASE WHEN d.i % 52 = 0 THEN 0.4e0 ELSE q.gb / (q.ge + q.gb) END,
-              q.ge / (q.ge + q.gb), q.gb / (q.ge + q.gb), d.e_s, d.e_x, d.b_s, d.b_x
-       FROM (SELECT *, we * (1 + coalesce(e_s, 0)) AS ge, wb * (1 + coalesce(b_s, 0)) AS gb FROM pr) q JOIN pd d ON d.fold = q.fold AND d.i = q.i + 1),
-po AS (SELECT fold, week_start AS return_week, we * coalesce(e_x, 0) + wb * coalesce(b_x, 0) AS gross,
-              CASE WHEN i % 52 = 0 THEN abs(we - pe) + abs(wb - pb) ELSE 0 END AS turnover,
-              CASE WHEN i % 52 = 0 THEN -(abs(we - pe) * 5e0 + abs(wb - pb) * 4e0) / 10000 ELSE 0 END AS cost FROM pr)"""
+       SELECT fold, i, week_start, we, wb, held, CASE WHEN buys THEN abs(we - oe) + abs(wb - ob) ELSE 0e0 END, CASE WHEN buys THEN (abs(we - oe) * 5e0 + abs(wb - ob) * 4e0) / -10000 ELSE 0e0 END,
+              we * xe + wb * xb, since, CASE WHEN held THEN we * ge / (we * ge + wb * gb) ELSE oe END, CASE WHEN held THEN wb * gb / (we * ge + wb * gb) ELSE ob END
+       FROM (SELECT d.*, q.qe AS oe, q.qb AS ob, q.since >= 52 AND d.ae + d.ab > 0 AS buys, CASE WHEN q.since >= 52 THEN d.te ELSE q.qe END AS we, CASE WHEN q.since >= 52 THEN d.tb ELSE q.qb END AS wb,
+                    CASE WHEN q.since >= 52 THEN d.ae + d.ab > 0 ELSE q.qe + q.qb > 0 END AS held,
+                    CASE WHEN q.since >= 52 AND d.ae + d.ab > 0 THEN 1 WHEN q.since >= 52 THEN q.since ELSE q.since + 1 END AS since
+             FROM pr q JOIN p0 d ON d.fold = q.fold AND d.i = q.i + 1)),
+po AS (SELECT fold, week_start AS return_week, gross, turnover, cost FROM pr WHERE held)"""
 
 
 @registered(
