@@ -19,6 +19,7 @@ empty table gives an empty result; extra columns are ignored by :func:`score` an
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marlspike.llm.common import chunked, texts
+from marlspike.llm.common import chunked, materialise, texts
 
 BUCKETS, FEATURES, SAMPLE = 1 << 20, 1 << 15, 3000
 #: Standard errors by which a bucket's shares must differ (the best ``FEW`` stay in any case); least prior of toxic rows.
@@ -73,17 +74,20 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def select(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> tuple[np.ndarray, np.ndarray]:
-    """The most telling buckets and their log-count ratios, from each class's counts of texts by bucket."""
-    p, q = toxic / max(n_toxic, 1), clean / max(n_clean, 1)
-    mean = (toxic + clean) / max(n_toxic + n_clean, 1)
-    spread = np.sqrt(np.maximum(mean * (1 - mean), 1e-12) * (1 / max(n_toxic, 1) + 1 / max(n_clean, 1)))
-    z = np.where(toxic + clean >= 2, np.abs(p - q) / spread, 0)
-    best = np.argsort(-z, kind="stable")[:FEATURES]
-    telling = z[best] > np.where(np.arange(len(best)) < FEW, 0, LEAST_Z)
-    best = np.sort(best[telling])
-    a, b = toxic[best] + 1.0, clean[best] + 1.0
-    return best, np.log((a / (n_toxic + 2)) / (b / (n_clean + 2)))
+def telling(counts: DataFrame, n_toxic: int, n_clean: int) -> DataFrame:
+    """Buckets that tell the classes apart: ``bucket``, ``z`` and ``ratio`` (log-count ratio).
+
+    ``counts`` has each bucket's number of ``toxic`` and ``clean`` texts.  Those beyond ``LEAST_Z``
+    come back, the best ``FEATURES`` of them, and the best ``FEW`` in any case.
+    """
+    p, q = F.col("toxic") / float(max(n_toxic, 1)), F.col("clean") / float(max(n_clean, 1))
+    mean = (F.col("toxic") + F.col("clean")) / float(max(n_toxic + n_clean, 1))
+    spread = F.sqrt(F.greatest(mean * (1 - mean), F.lit(1e-12)) * (1 / max(n_toxic, 1) + 1 / max(n_clean, 1)))
+    ratio = F.log(((F.col("toxic") + 1.0) / (n_toxic + 2)) / ((F.col("clean") + 1.0) / (n_clean + 2)))
+    rows = counts.filter("toxic + clean > 1").select("bucket", (F.abs(p - q) / spread).alias("z"), ratio.alias("ratio")).filter("z > 0")
+    rows = materialise(rows, "buckets")
+    best = [F.desc("z"), F.asc("bucket")]
+    return rows.filter(F.col("z") > LEAST_Z).orderBy(*best).limit(FEATURES).unionByName(rows.orderBy(*best).limit(FEW)).distinct()
 
 
 def fit(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray, prior: float, steps: int = 300, l2: float = 1e-2) -> tuple[np.ndarray, float]:
@@ -112,12 +116,30 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray, prior: f
     return w * ratios, b
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for batch in chunked(whole, "_text", 8 << 20):
+            packed = [zlib.compress(t.encode(), 1) for t in texts(batch.column("_text"))]
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(packed, pa.binary())], ["_id", "_packed"])
+
+
+def _slices(rows: list, n: int = 100) -> Iterator[list]:
+    for a in range(0, len(rows), n):
+        yield rows[a : a + n]
+
+
+def _unpacked(batch: pa.RecordBatch) -> Iterator[list[str]]:
+    """Texts of a packed batch, a hundred at a time."""
+    for part in _slices(batch.column("_packed").to_pylist()):
+        yield [zlib.decompress(p).decode() for p in part]
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros((2, BUCKETS), np.int64)
-    for whole in batches:
-        for batch in chunked(whole, "_text"):
-            for g, y in zip(grams(texts(batch.column("_text"))), batch.column("_y").to_pylist()):
-                counts[y, np.unique(g)] += 1
+    for batch in batches:
+        for part, y in zip(_unpacked(batch), _slices(batch.column("_y").to_pylist())):
+            for g, label in zip(grams(part), y):
+                counts[label, np.unique(g)] += 1
     hit = np.flatnonzero(counts.sum(axis=0))
     for a in range(0, len(hit), 1 << 16):
         h = hit[a : a + (1 << 16)]
@@ -129,10 +151,10 @@ def _sampler(best: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
         slot = np.full(BUCKETS, -1, np.int32)
         slot[best] = np.arange(len(best))
         model = Model(slot, np.zeros(len(best)), 0.0)
-        for whole in batches:
-            for batch in chunked(whole, "_text"):
-                found = [f.astype(np.int32) for f in model.features(texts(batch.column("_text")))]
-                yield pa.RecordBatch.from_arrays([batch.column("_y"), pa.array(found, pa.list_(pa.int32()))], ["_y", "features"])
+        for batch in batches:
+            for part, y in zip(_unpacked(batch), _slices(batch.column("_y").to_pylist())):
+                found = [f.astype(np.int32) for f in model.features(part)]
+                yield pa.RecordBatch.from_arrays([pa.array(y, pa.int32()), pa.array(found, pa.list_(pa.int32()))], ["_y", "features"])
 
     return run
 
@@ -145,21 +167,24 @@ def fold(id_col: str) -> Column:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """A model of the labelled rows of ``docs`` outside the held-out fold."""
     marked = labels.filter(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col(label_col).cast("int")).alias("_y"))
+    # Texts travel packed: the join moves every text once, and what it keeps is written for the two passes to come.
     text = docs.filter(fold(id_col) != 0).select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    rows = text.join(marked, "_id").select("_id", "_text", F.when(F.col("_y") > 0, 1).otherwise(0).alias("_y"))
-    n = {r["_y"]: r["n"] for r in marked.join(text.select("_id"), "_id").groupBy((F.col("_y") > 0).cast("int").alias("_y")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    kind = docs.schema[id_col].dataType.simpleString()
+    packed = text.mapInArrow(_pack, f"_id {kind}, _packed binary")
+    # The labels grow with the corpus, so they are never broadcast.
+    rows = packed.join(marked.hint("merge"), "_id").select("_id", "_packed", F.when(F.col("_y") > 0, 1).otherwise(0).alias("_y"))
+    rows = materialise(rows, "labelled")
+    n = {r["_y"]: r["n"] for r in rows.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_clean = n.get(1, 0), n.get(0, 0)
-    counted = rows.select("_text", "_y").mapInArrow(_count, "bucket long, toxic long, clean long")
-    # At most BUCKETS rows of three numbers, whatever the corpus.
-    table = counted.groupBy("bucket").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).filter("toxic + clean > 1").toArrow()
-    toxic, clean = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    at = table.column("bucket").to_numpy()
-    toxic[at], clean[at] = table.column("toxic").to_numpy(), table.column("clean").to_numpy()
-    best, ratios = select(toxic, clean, n_toxic, n_clean)
+    counted = rows.select("_packed", "_y").mapInArrow(_count, "bucket long, toxic long, clean long")
+    counts = counted.groupBy("bucket").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    found = telling(counts, n_toxic, n_clean).collect()  # FEATURES + FEW rows at most
+    found = sorted((r["bucket"], r["ratio"]) for r in found)
+    best, ratios = np.array([b for b, _ in found], np.int64), np.array([x for _, x in found])
     # The sample: rows of each class below the hash that leaves SAMPLE of them on average.
     h = F.pmod(F.xxhash64("_id"), F.lit(1_000_000))
     share = F.when(F.col("_y") == 1, SAMPLE / max(n_toxic, 1)).otherwise(SAMPLE / max(n_clean, 1)) * 1_000_000
-    got = rows.filter(h < share).select("_text", "_y").mapInArrow(_sampler(best), "_y int, features array<int>").toArrow()
+    got = rows.filter(h < share).select("_packed", "_y").mapInArrow(_sampler(best), "_y int, features array<int>").toArrow()
     y = got.column("_y").to_numpy().astype(float)
     features = [np.array(f, np.int64) for f in got.column("features").to_pylist()]
     prior = max(PRIOR, n_toxic / max(n_toxic + n_clean, 1))
