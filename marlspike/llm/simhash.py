@@ -34,41 +34,62 @@ DISTANCE = 3
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
-def fingerprint(text: bytes, words: int = 3, seed: int = 42) -> int:
-    """SimHash of a text's word shingles as an unsigned 64-bit integer."""
+def _fold(hashes: np.ndarray) -> int:
+    bits = np.unpackbits(hashes.astype("<u8", copy=False).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    on = 2 * bits.sum(axis=0, dtype=np.int64) > len(hashes)
+    return int(np.packbits(on, bitorder="little").view("<u8")[0])
+
+
+def _remixed(hashes: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of the same shingles that are independent of the first ones, for further fingerprints."""
+    h = (hashes ^ np.uint64(k * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(32))
+
+
+def fingerprint_set(text: bytes, words: int = 3, seed: int = 42, extra: int = 0) -> list[int]:
+    """SimHash of a text's word shingles, and ``extra`` independent ones, as unsigned 64-bit integers."""
     found = text.translate(_LOWER).split()
     if not found:
-        return 0
+        return [0] * (1 + extra)
     line = b" ".join(found)
     digest = xxhash.xxh64_intdigest
     if len(found) < words:
-        return digest(line, seed)
-    ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1
-    starts = [0, *(ends[: len(found) - words] + 1).tolist()]
-    hashes = [digest(line[a:b], seed) for a, b in zip(starts, ends[words - 1 :].tolist())]
-    bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    on = 2 * bits.sum(axis=0, dtype=np.int64) > len(hashes)
-    return int(np.packbits(on, bitorder="little").view("<u8")[0])
+        hashes = np.array([digest(line, seed)], np.uint64)
+    else:
+        ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1
+        starts = [0, *(ends[: len(found) - words] + 1).tolist()]
+        hashes = np.array([digest(line[a:b], seed) for a, b in zip(starts, ends[words - 1 :].tolist())], np.uint64)
+    return [_fold(hashes), *(_fold(_remixed(hashes, k)) for k in range(1, extra + 1))]
+
+
+def fingerprint(text: bytes, words: int = 3, seed: int = 42) -> int:
+    """SimHash of a text's word shingles as an unsigned 64-bit integer."""
+    return fingerprint_set(text, words, seed)[0]
 
 
-def _prints(words: int, seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _prints(words: int, seed: int, extra: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in chunked(whole, "_text"):
                 rows = batch.column("_text").cast(pa.binary()).to_pylist()
-                prints = np.array([fingerprint(t or b"", words, seed) for t in rows], np.uint64).view(np.int64)
+                prints = np.array([fingerprint_set(t or b"", words, seed, extra) for t in rows], np.uint64).view(np.int64)
                 keep = [k for k in batch.schema.names if k != "_text"]
-                yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), pa.array(prints)], [*keep, "fp"])
+                names = ["fp", *(f"fp{k}" for k in range(1, extra + 1))]
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(k) for k in keep), *(pa.array(np.ascontiguousarray(prints[:, k])) for k in range(1 + extra))], [*keep, *names]
+                )
 
     return run
 
 
-def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, seed: int = 42) -> DataFrame:
-    """``_id``, the row's key and ``fp`` (64 bits as a signed long) of every row."""
+def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, seed: int = 42, extra: int = 0) -> DataFrame:
+    """``_id``, the row's key and ``fp`` (64 bits as a signed long) of every row, with ``fp1`` and so on for ``extra`` ones."""
     kind = df.schema[id_col].dataType.simpleString()
     text = F.col(text_col).cast("string")
     src = df.select(F.col(id_col).alias("_id"), *row_key(id_col, text), text.alias("_text"))
-    return src.mapInArrow(_prints(words, seed), f"_id {kind}, _k1 long, _k2 long, fp long")
+    more = "".join(f", fp{k} long" for k in range(1, extra + 1))
+    return src.mapInArrow(_prints(words, seed, extra), f"_id {kind}, _k1 long, _k2 long, fp long{more}")
 
 
 def _variants(prints: DataFrame) -> DataFrame:
@@ -111,15 +132,26 @@ def links(prints: DataFrame) -> DataFrame:
     return found.unionByName(_hub_links(crowd))
 
 
-def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, seed: int = 42) -> DataFrame:
+def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, seed: int = 42, extra: int = 0) -> DataFrame:
     """One row a document: ``id_col``, ``fingerprint`` (hex), ``component_id``, ``group_size`` and the row's key.
 
-    ``component_id`` is the smallest id that links reach, the row's own included.
+    ``component_id`` is the smallest id that links reach, the row's own included.  With ``extra``
+    fingerprints a document is also linked where any of those is within ``DISTANCE``: each gives a
+    near copy another chance, and none makes unlike texts alike.
     """
-    rows = materialise(fingerprints(df, id_col, text_col, words, seed), "prints")
-    prints = rows.groupBy("fp").agg(F.min("_id").alias("low"), F.count(F.lit(1)).alias("n"))
-    prints = materialise(prints, "distinct")
-    roots = components(links(prints.select("fp")))
+    rows = materialise(fingerprints(df, id_col, text_col, words, seed, extra), "prints")
+    prints = materialise(rows.groupBy("fp").agg(F.min("_id").alias("low"), F.count(F.lit(1)).alias("n")), "distinct")
+    every = links(prints.select("fp"))
+    for k in range(1, extra + 1):
+        # Links of another fingerprint, told in terms of the first: each value stands for the least first one that has it.
+        pairs = rows.select("fp", F.col(f"fp{k}").alias("other")).distinct()
+        head = materialise(pairs.groupBy("other").agg(F.min("fp").alias("head")), "heads")
+        same = pairs.join(head, "other").filter("fp != head").select(F.col("fp").alias("a"), F.col("head").alias("b"))
+        found = links(head.select(F.col("other").alias("fp")))
+        ends = [head.select(F.col("other").alias(c), F.col("head").alias(f"head_{c}")) for c in ("a", "b")]
+        told = found.join(ends[0], "a").join(ends[1], "b").select(F.col("head_a").alias("a"), F.col("head_b").alias("b"))
+        every = every.unionByName(same).unionByName(told)
+    roots = components(every)
     named = prints.join(roots, prints["fp"] == roots["node"], "left").select("fp", "low", "n", F.coalesce("root", "fp").alias("root"))
     groups = named.groupBy("root").agg(F.min("low").alias("component_id"), F.sum("n").alias("group_size"))
     of_print = named.join(groups, "root").select("fp", "component_id", "group_size")
@@ -128,9 +160,9 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     )
 
 
-def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", extra: int = 0) -> DataFrame:
     """One row of each group, that with the smallest id (of equal ids the smallest key), with all columns."""
-    groups = near_groups(df, id_col, text_col)
+    groups = near_groups(df, id_col, text_col, extra=extra)
     best = groups.withColumn("_c", F.coalesce(F.col("component_id").cast("string"), F.lit(""))).groupBy("_c", "component_id").agg(
         F.min(F.struct(F.col(id_col).isNull(), F.col(id_col), "_k1", "_k2")).alias("b")
     )

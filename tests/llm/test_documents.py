@@ -397,3 +397,20 @@ def test_empty_tables(none):
         exact_dedup.drop_exact_copies(none), token_counts.token_counts(none, model), simhash.near_groups(none), simhash.drop_near_copies(none), media.media_columns(none),
     ):
         assert df.count() == 0
+
+
+def test_near_groups_by_several_fingerprints(spark):
+    rnd = random.Random(12)
+    rows = []
+    for i in range(25):
+        words = prose(100 + i, 150).split()
+        rows.append((2 * i, " ".join(words)))
+        for _ in range(3):
+            words[rnd.randrange(150)] = "changed"
+        rows.append((2 * i + 1, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = {i: simhash.fingerprint_set(t.encode(), extra=3) for i, t in rows}
+    close = lambda a, b: any((x ^ y).bit_count() <= 3 for x, y in zip(sets[a], sets[b]))
+    want = {2 * i + k: 2 * i if close(2 * i, 2 * i + 1) else 2 * i + k for i in range(25) for k in (0, 1)}
+    assert {r["doc_id"]: r["component_id"] for r in simhash.near_groups(df, extra=3).collect()} == want
+    assert len(set(want.values())) < 40 and len({r["component_id"] for r in simhash.near_groups(df).collect()}) > len(set(want.values()))
