@@ -128,8 +128,10 @@ def links(prints: DataFrame) -> DataFrame:
     other = few.select("key", F.col("fp").alias("fp2"))
     pairs = few.join(other, "key").filter((F.col("fp") < F.col("fp2")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("fp2"))) <= DISTANCE))
     found = pairs.select(F.col("fp").alias("a"), F.col("fp2").alias("b")).distinct()
-    crowd = full.filter(F.col("n") > BUCKET).select("fp").distinct()
-    return found.unionByName(_hub_links(crowd))
+    crowd = full.filter(F.col("n") > BUCKET)
+    if not crowd.isEmpty():  # the hub plan is large: it is built only where there is something to link
+        found = found.unionByName(_hub_links(crowd.select("fp").distinct()))
+    return materialise(found, "found")
 
 
 def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, seed: int = 42, extra: int = 0) -> DataFrame:
