@@ -16,7 +16,7 @@ ignored by :func:`exact_groups` and returned by :func:`drop_exact_copies`, whate
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -133,9 +133,10 @@ def recipes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: ``id_col``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256`` and the row's key."""
-    rows = recipes(df, id_col, text_col)
+    # Both sides of the join are written out, so that a group of very many copies can be split.
+    rows = materialise(recipes(df, id_col, text_col), "named")
     best = F.min(F.struct((-F.col("_n")).alias("n"), F.col("_id").isNull().alias("no_id"), F.col("_id").alias("id"), "_k1", "_k2"))
-    groups = rows.groupBy("recipe").agg(best.alias("b"), F.count(F.lit(1)).alias("group_size"))
+    groups = materialise(rows.groupBy("recipe").agg(best.alias("b"), F.count(F.lit(1)).alias("group_size")), "groups")
     again = F.row_number().over(Window.partitionBy("_k1", "_k2").orderBy(F.lit(1)))
     joined = rows.join(groups, "recipe").withColumn("_again", again)
     first = (F.col("_k1") == F.col("b._k1")) & (F.col("_k2") == F.col("b._k2")) & (F.col("_again") == 1)
@@ -151,6 +152,3 @@ def drop_exact_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row"), k1, k2)
     again = F.row_number().over(Window.partitionBy("_k1", "_k2").orderBy(F.lit(1)))
     return rows.join(kept, ["_k1", "_k2"], "left_semi").withColumn("_again", again).filter("_again = 1").select("_row.*")
-
-
-Groups = Callable[[DataFrame], DataFrame]
