@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from marlspike.llm.common import chunked, materialise, texts
 
-BUCKETS, FEATURES, SAMPLE = 1 << 20, 1 << 15, 3000
+BUCKETS, FEATURES, SAMPLE = 1 << 20, 1 << 13, 3000
 #: Standard errors by which a bucket's shares must differ (the best ``FEW`` stay in any case); least prior of toxic rows.
 LEAST_Z, FEW, PRIOR = 5.0, 64, 0.25
 SIZES = (3, 4, 5, 6)
