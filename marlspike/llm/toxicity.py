@@ -3,10 +3,11 @@
 Features are the n-grams of three to six lower-cased characters (white space counts as one space, so word edges show), hashed to ``BUCKETS``
 buckets, present or not.  Spark counts, over all labelled training rows, in how many texts of
 either class each bucket is present.  From these counts come the log-count ratios and the
-``FEATURES`` buckets that tell the classes apart best.  A logistic regression on the scaled
-features is then fitted on at most ``SAMPLE`` training rows of each class (those with the
-smallest hash of their id), the only bounded step; every other figure covers all rows.  The
-model has ``FEATURES`` weights whatever the corpus, and scoring is one pass over the texts.
+buckets that tell the classes apart: every one beyond ``LEAST_Z``.  A logistic regression on the
+scaled features is then fitted, by one task on an executor, on at most ``SAMPLE`` training rows
+of each class (those with the smallest hash of id and text), the only bounded step; every other
+figure covers all rows.  The model has ``BUCKETS`` weights at most whatever the corpus, and
+scoring is one pass over the texts.
 
 Cases: null and empty texts have no feature and get the score of the intercept; rows without
 a label, with a null label or a null id are scored and never trained on; a document that is
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from marlspike.llm.common import chunked, materialise, texts
 
-BUCKETS, FEATURES, SAMPLE = 1 << 20, 1 << 13, 3000
+BUCKETS, SAMPLE = 1 << 20, 3000
 #: Standard errors by which a bucket's shares must differ (the best ``FEW`` stay in any case); least prior of toxic rows.
 LEAST_Z, FEW, PRIOR = 5.0, 64, 0.25
 SIZES = (3, 4, 5, 6)
@@ -78,7 +79,7 @@ def telling(counts: DataFrame, n_toxic: int, n_clean: int) -> DataFrame:
     """Buckets that tell the classes apart: ``bucket``, ``z`` and ``ratio`` (log-count ratio).
 
     ``counts`` has each bucket's number of ``toxic`` and ``clean`` texts.  Those beyond ``LEAST_Z``
-    come back, the best ``FEATURES`` of them, and the best ``FEW`` in any case.
+    come back, all of them, and the best ``FEW`` in any case.
     """
     p, q = F.col("toxic") / float(max(n_toxic, 1)), F.col("clean") / float(max(n_clean, 1))
     mean = (F.col("toxic") + F.col("clean")) / float(max(n_toxic + n_clean, 1))
@@ -87,7 +88,7 @@ def telling(counts: DataFrame, n_toxic: int, n_clean: int) -> DataFrame:
     rows = counts.filter("toxic + clean > 1").select("bucket", (F.abs(p - q) / spread).alias("z"), ratio.alias("ratio")).filter("z > 0")
     rows = materialise(rows, "buckets")
     best = [F.desc("z"), F.asc("bucket")]
-    return rows.filter(F.col("z") > LEAST_Z).orderBy(*best).limit(FEATURES).unionByName(rows.orderBy(*best).limit(FEW)).distinct()
+    return rows.filter(F.col("z") > LEAST_Z).unionByName(rows.orderBy(*best).limit(FEW)).distinct()
 
 
 def fit(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray, prior: float, steps: int = 300, l2: float = 1e-2) -> tuple[np.ndarray, float]:
@@ -96,17 +97,24 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray, prior: f
     share = float(labels.mean()) if n else prior
     if not 0 < share < 1 or not m:
         return np.zeros(m), 40.0 if share == 1 else -40.0 if n else 0.0
-    idx = np.concatenate(rows)
-    home = np.repeat(np.arange(n), [len(r) for r in rows])
-    value = ratios[idx]
+    # Passes go over a slice of the rows at a time, so that the work arrays stay small.
+    parts = []
+    for a in range(0, n, 128):
+        part = rows[a : a + 128]
+        parts.append((slice(a, a + len(part)), np.concatenate(part).astype(np.int32), np.array([len(r) for r in part])))
     weight = np.where(labels == 1, prior / share, (1 - prior) / (1 - share))
     weight = weight / weight.sum()
     w, b = np.zeros(m), float(np.log(prior / (1 - prior)))
     mean_w, mean_b, second_w, second_b = np.zeros(m), 0.0, np.zeros(m), 0.0
     for t in range(1, steps + 1):
-        z = np.bincount(home, weights=value * w[idx], minlength=n) + b
-        err = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - labels) * weight
-        gw, gb = np.bincount(idx, weights=value * err[home], minlength=m) + l2 * w / m, err.sum()
+        scaled, gw, gb = w * ratios, np.zeros(m), 0.0
+        for at, idx, count in parts:
+            home = np.repeat(np.arange(len(count)), count)
+            z = np.bincount(home, weights=scaled[idx], minlength=len(count)) + b
+            err = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - labels[at]) * weight[at]
+            np.add.at(gw, idx, err[home])
+            gb += err.sum()
+        gw = gw * ratios + l2 * w / m
         mean_w, mean_b = 0.9 * mean_w + 0.1 * gw, 0.9 * mean_b + 0.1 * gb
         second_w, second_b = 0.999 * second_w + 0.001 * gw * gw, 0.999 * second_b + 0.001 * gb * gb
         fix1, fix2 = 1 - 0.9**t, 1 - 0.999**t
@@ -116,6 +124,20 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray, prior: f
     return w * ratios, b
 
 
+def _fitter(ratios: np.ndarray, prior: float) -> Callable[[pa.Table], pa.Table]:
+    """Fits the one group of sampled rows; comes back as ``feature`` and ``weight``, the bias as feature -1."""
+
+    def run(sample: pa.Table) -> pa.Table:
+        y = sample.column("_y").to_numpy().astype(float)
+        rows = [f.values.to_numpy() for f in sample.column("features")]
+        order = sorted(range(len(y)), key=lambda i: (y[i], rows[i].tobytes()))  # a fit that does not depend on the order of arrival
+        weights, bias = fit([rows[i] for i in order], y[order], ratios, prior)
+        out = [pa.array(np.arange(-1, len(weights)), pa.int32()), pa.array(np.concatenate([[bias], weights]), pa.float64())]
+        return pa.Table.from_arrays(out, ["feature", "weight"])
+
+    return run
+
+
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in chunked(whole, "_text", 8 << 20):
@@ -178,18 +200,17 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     n_toxic, n_clean = n.get(1, 0), n.get(0, 0)
     counted = rows.select("_packed", "_y").mapInArrow(_count, "bucket long, toxic long, clean long")
     counts = counted.groupBy("bucket").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    found = telling(counts, n_toxic, n_clean).collect()  # FEATURES + FEW rows at most
-    found = sorted((r["bucket"], r["ratio"]) for r in found)
-    best, ratios = np.array([b for b, _ in found], np.int64), np.array([x for _, x in found])
+    found = telling(counts, n_toxic, n_clean).toArrow().sort_by("bucket")  # BUCKETS rows at most
+    best, ratios = found.column("bucket").to_numpy().astype(np.int64), found.column("ratio").to_numpy()
     # The sample: rows of each class below the hash that leaves SAMPLE of them on average.
     h = F.pmod(F.xxhash64("_id"), F.lit(1_000_000))
     share = F.when(F.col("_y") == 1, SAMPLE / max(n_toxic, 1)).otherwise(SAMPLE / max(n_clean, 1)) * 1_000_000
-    got = rows.filter(h < share).select("_packed", "_y").mapInArrow(_sampler(best), "_y int, features array<int>").toArrow()
-    y = got.column("_y").to_numpy().astype(float)
-    features = [np.array(f, np.int64) for f in got.column("features").to_pylist()]
+    got = rows.filter(h < share).select("_packed", "_y").mapInArrow(_sampler(best), "_y int, features array<int>")
     prior = max(PRIOR, n_toxic / max(n_toxic + n_clean, 1))
-    order = sorted(range(len(y)), key=lambda i: (y[i], features[i].tolist()))  # a fit that does not depend on the order of arrival
-    weights, bias = fit([features[i] for i in order], y[order], ratios, prior) if len(y) else (np.zeros(len(best)), 0.0)
+    # The fit is one task of an executor: only weights come to the driver.
+    fitted = got.withColumn("all", F.lit(1)).groupBy("all").applyInArrow(_fitter(ratios, prior), "feature int, weight double").toArrow().sort_by("feature")
+    fitted = fitted.column("weight").to_numpy() if len(fitted) else np.zeros(1 + len(best))
+    weights, bias = fitted[1:], fitted[0]
     slot = np.full(BUCKETS, -1, np.int32)
     slot[best] = np.arange(len(best))
     return Model(slot, weights, float(bias))
