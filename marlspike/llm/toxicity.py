@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from marlspike.llm.common import chunked, materialise, texts
 
 BUCKETS, SAMPLE = 1 << 20, 3000
-#: Standard errors by which a bucket's shares must differ (the best ``FEW`` stay in any case); least prior of toxic rows.
-LEAST_Z, FEW, PRIOR = 5.0, 64, 0.25
+#: Standard errors by which a bucket's shares must differ (the best ``FEW`` stay in any case).
+LEAST_Z, FEW = 5.0, 64
 SIZES = (3, 4, 5, 6)
 _blank = re.compile(r"\s+")
 FOLDS = 5
@@ -206,7 +206,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     h = F.pmod(F.xxhash64("_id"), F.lit(1_000_000))
     share = F.when(F.col("_y") == 1, SAMPLE / max(n_toxic, 1)).otherwise(SAMPLE / max(n_clean, 1)) * 1_000_000
     got = rows.filter(h < share).select("_packed", "_y").mapInArrow(_sampler(best), "_y int, features array<int>")
-    prior = max(PRIOR, n_toxic / max(n_toxic + n_clean, 1))
+    prior = n_toxic / max(n_toxic + n_clean, 1)
     # The fit is one task of an executor: only weights come to the driver.
     fitted = got.withColumn("all", F.lit(1)).groupBy("all").applyInArrow(_fitter(ratios, prior), "feature int, weight double").toArrow().sort_by("feature")
     fitted = fitted.column("weight").to_numpy() if len(fitted) else np.zeros(1 + len(best))

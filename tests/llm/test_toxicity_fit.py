@@ -25,3 +25,12 @@ def test_rare_toxic_words_keep_their_features(spark):
     clean = [got[i] for i in range(1000) if i % 10 > 4 and got[i]["held_out"]]
     assert rare and all(r["predicted"] for r in rare)
     assert clean and not any(r["predicted"] for r in clean)
+
+
+def test_scores_are_calibrated_to_the_share_seen(spark):
+    rows = [(i, "plain words " + ("odd sign" if i % 4 == 0 else "no mark")) for i in range(2000)]
+    labels = [(i, int(i % 4 == 0 and i % 20 < 8)) for i in range(2000)]  # two in five of the odd texts, a tenth of all
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.train(df, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    odd = [r for r in toxicity.score(df, model).collect() if r["doc_id"] % 4 == 0]
+    assert abs(sum(r["score"] for r in odd) / len(odd) - 0.4) < 0.05 and not any(r["predicted"] for r in odd)
