@@ -196,16 +196,23 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # The labels grow with the corpus, so they are never broadcast.
     rows = packed.join(marked.hint("merge"), "_id").select("_id", "_packed", F.when(F.col("_y") > 0, 1).otherwise(0).alias("_y"))
     rows = materialise(rows, "labelled")
-    n = {r["_y"]: r["n"] for r in rows.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = rows.groupBy("_y").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64("_id", "_packed")).alias("d")).collect()
+    n, distinct = {r["_y"]: r["n"] for r in sizes}, {r["_y"]: r["d"] for r in sorted(sizes)}
     n_toxic, n_clean = n.get(1, 0), n.get(0, 0)
     counted = rows.select("_packed", "_y").mapInArrow(_count, "bucket long, toxic long, clean long")
     counts = counted.groupBy("bucket").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     found = telling(counts, n_toxic, n_clean).toArrow().sort_by("bucket")  # BUCKETS rows at most
     best, ratios = found.column("bucket").to_numpy().astype(np.int64), found.column("ratio").to_numpy()
-    # The sample: rows of each class below the hash that leaves SAMPLE of them on average.
-    h = F.pmod(F.xxhash64("_id"), F.lit(1_000_000))
-    share = F.when(F.col("_y") == 1, SAMPLE / max(n_toxic, 1)).otherwise(SAMPLE / max(n_clean, 1)) * 1_000_000
-    got = rows.filter(h < share).select("_packed", "_y").mapInArrow(_sampler(best), "_y int, features array<int>")
+    # The sample: the SAMPLE distinct rows of each class with the smallest hash; a repeated row counts once in it.
+    sample = None
+    for y, several in distinct.items():
+        # A hash below which twice as many are expected: few rows are sorted, and the limit holds whatever is repeated.
+        few = rows.filter(F.col("_y") == y).withColumn("h", F.pmod(F.xxhash64("_id", "_packed"), F.lit(1 << 40)))
+        few = few.filter(F.col("h") < 2 * SAMPLE / several * (1 << 40)).dropDuplicates(["_id", "h"]).orderBy("h", "_id").limit(SAMPLE)
+        sample = few if sample is None else sample.unionByName(few)
+    if sample is None:
+        return Model(np.full(BUCKETS, -1, np.int32), np.zeros(0), 0.0)
+    got = sample.select("_packed", "_y").mapInArrow(_sampler(best), "_y int, features array<int>")
     prior = n_toxic / max(n_toxic + n_clean, 1)
     # The fit is one task of an executor: only weights come to the driver.
     fitted = got.withColumn("all", F.lit(1)).groupBy("all").applyInArrow(_fitter(ratios, prior), "feature int, weight double").toArrow().sort_by("feature")

@@ -34,3 +34,28 @@ def test_scores_are_calibrated_to_the_share_seen(spark):
     model = toxicity.train(df, spark.createDataFrame(labels, "doc_id long, toxic int"))
     odd = [r for r in toxicity.score(df, model).collect() if r["doc_id"] % 4 == 0]
     assert abs(sum(r["score"] for r in odd) / len(odd) - 0.4) < 0.05 and not any(r["predicted"] for r in odd)
+
+
+def test_repeated_rows_do_not_swell_the_sample(spark, monkeypatch):
+    seen = []
+    plan = toxicity._sampler
+
+    def watched(best):
+        seen.append(best)
+        run = plan(best)
+
+        def counted(batches):
+            for out in run(batches):
+                rows.add(out.num_rows)
+                yield out
+
+        return counted
+
+    rows = spark.sparkContext.accumulator(0)
+    monkeypatch.setattr(toxicity, "_sampler", watched)
+    monkeypatch.setattr(toxicity, "SAMPLE", 50)
+    # Each of these ids is repeated; by chance some of them would enter a sample with all their rows.
+    texts = [(i % 40, f"text {i % 40} " + ("bad sign" if i % 2 else "fine")) for i in range(8000)]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    toxicity.train(df, spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int"))
+    assert seen and 0 < rows.value <= 100
