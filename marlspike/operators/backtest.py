@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from marlspike.functions.scalars import trend_sign
 from marlspike.operators.portfolio import PortfolioParams, build_weights
+from marlspike.operators.stats import compounded
 from marlspike.sources.shared import settle
 
 
@@ -77,6 +78,13 @@ def _recorded(weights: DataFrame, calendar: DataFrame, by: Sequence[str]) -> Dat
     return steps.withColumn("previous", before).filter("_held").select(*by, "return_week", "previous")
 
 
+def _priced(rows: DataFrame, costs: DataFrame) -> DataFrame:
+    """``rows`` with ``_bps`` of their symbol; a symbol without a cost is an error."""
+    known = costs.select("symbol", F.col("bps").alias("_bps"))
+    missing = F.raise_error(F.concat(F.lit("no cost for "), F.col("symbol"))).cast("double")
+    return rows.join(known, "symbol", "left").withColumn("_bps", F.coalesce("_bps", missing))
+
+
 def week_results(weights: DataFrame, returns: DataFrame, costs: DataFrame, calendar: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """``gross``, ``net`` and ``turnover`` of each return week.
 
@@ -97,10 +105,7 @@ def week_results(weights: DataFrame, returns: DataFrame, costs: DataFrame, calen
         F.coalesce(F.sum("w1"), F.lit(0.0)).alias("w1"), F.coalesce(F.sum("w0"), F.lit(0.0)).alias("w0")
     )
     paid = both.join(returns.select("symbol", F.col("week_start").alias("return_week"), F.col("excess_return").alias("_r")), ["symbol", "return_week"], "left")
-    known = costs.select("symbol", F.col("bps").alias("_bps"))
-    paid = paid.join(known, "symbol", "left").withColumn(
-        "_bps", F.coalesce("_bps", F.raise_error(F.concat(F.lit("no cost for "), F.col("symbol"))).cast("double"))
-    )
+    paid = _priced(paid, costs)
     moved = F.abs(F.col("w1") - F.col("w0"))
     finite = F.when(~F.isnan("_r") & (F.abs("_r") < float("inf")), F.col("_r")).otherwise(0.0)
     sums = paid.groupBy(*key).agg(F.sum(F.col("w1") * finite).alias("gross"), F.sum(moved).alias("turnover"), F.sum(-moved * F.col("_bps") / 10_000.0).alias("cost"))
@@ -166,7 +171,8 @@ def baseline_passive(
     so the drift is a running product, not a recursion.  Only symbols with a row in a block's first
     week are held in it; costs fall due in that week, against the drifted book before it.  A block that
     is due waits for a week in which any target has a row; if there is none in a fold's first week, the
-    first block begins after a whole period has passed.
+    first block begins after a whole period has passed.  A position that falls to nothing stays there until
+    the next block; a symbol without a cost is an error.
     """
     tests = folds.filter("role = 'test'").select("fold", F.col("week_start").alias("return_week"))
     weeks = tests.withColumn("i", F.row_number().over(Window.partitionBy("fold").orderBy("return_week")) - 1)
@@ -182,18 +188,24 @@ def baseline_passive(
     rows = weeks.select("*", pairs.alias("symbol", "target")).join(found, ["symbol", "return_week"], "left")
     block = Window.partitionBy("fold", "block", "symbol").orderBy("step")
     rows = rows.withColumn("_in", F.first(F.coalesce("_there", F.lit(False))).over(block)).filter("_in")
-    growth = F.log1p(F.coalesce("simple_return", F.lit(0.0)))
-    so_far = F.coalesce(F.sum(growth).over(block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    rows = rows.withColumns({"_start": F.col("target") * F.exp(so_far), "_end": F.col("target") * F.exp(so_far + growth)})
+    sound = ~F.isnan("simple_return") & (F.abs("simple_return") < float("inf"))
+    rows = rows.withColumn("_g", F.when(sound, 1 + F.col("simple_return")).otherwise(1.0))
+    # A week in which the last position is lost as well leaves its weights as they were.
+    lost = F.min(F.when(F.col("_g") == 0, F.col("step"))).over(Window.partitionBy("fold", "block", "symbol"))
+    rows = rows.withColumn("_lost", lost).withColumn("_all_lost", F.max(F.coalesce("_lost", F.lit(rebalance))).over(Window.partitionBy("fold", "block")))
+    rows = rows.withColumn("_g", F.when((F.col("step") == F.col("_all_lost")) & (F.col("_lost") == F.col("_all_lost")), 1.0).otherwise(F.col("_g")))
+    so_far = compounded(F.col("_g"), block.rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("_start", F.col("target") * so_far).withColumn("_end", F.col("_start") * F.col("_g"))
     week = Window.partitionBy("fold", "return_week")
-    rows = rows.withColumns({"weight": F.col("_start") / F.sum("_start").over(week), "_drifted": F.col("_end") / F.sum("_end").over(week)})
+    share = lambda c: F.coalesce(F.try_divide(F.col(c), F.sum(F.abs(c)).over(week)), F.lit(0.0))
+    rows = rows.withColumns({"weight": share("_start"), "_drifted": share("_end")})
     gross = rows.groupBy("fold", "return_week").agg(F.sum(F.col("weight") * F.coalesce("excess_return", F.lit(0.0))).alias("gross"))
     bought = rows.filter("step = 0").select("fold", "block", "symbol", F.col("weight").alias("w1"))
     last = rows.filter(F.col("step") == rebalance - 1).select("fold", (F.col("block") + 1).alias("block"), "symbol", F.col("_drifted").alias("w0"))
     moved = bought.unionByName(last, allowMissingColumns=True).groupBy("fold", "block", "symbol").agg(
         F.abs(F.coalesce(F.sum("w1"), F.lit(0.0)) - F.coalesce(F.sum("w0"), F.lit(0.0))).alias("moved")
     )
-    paid = moved.join(costs, "symbol").groupBy("fold", "block").agg(F.sum("moved").alias("turnover"), F.sum(-F.col("moved") * F.col("bps") / 10_000.0).alias("cost"))
+    paid = _priced(moved, costs).groupBy("fold", "block").agg(F.sum("moved").alias("turnover"), F.sum(-F.col("moved") * F.col("_bps") / 10_000.0).alias("cost"))
     first = weeks.filter("step = 0").select("fold", "block", "return_week").join(paid, ["fold", "block"]).drop("block")
     out = gross.join(first, ["fold", "return_week"], "left")
     out = out.withColumns({"turnover": F.coalesce("turnover", F.lit(0.0)), "cost": F.coalesce("cost", F.lit(0.0))})

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from marlspike.operators.asof import asof, asof_many, offset_join, vintage_asof
 from marlspike.operators.candles import split_factors, week_start
 from marlspike.operators.scan import ema
+from marlspike.sources.shared import settle
 
 
 def _along(key: Sequence[str], order: str) -> Window:
@@ -120,7 +121,7 @@ def training_daily(
     logret = log_ratio(F.col("close"), F.lag("close").over(_along(("symbol",), "d")))
     px = realized_vol(daily_rsi.withColumn("_lr", logret), "_lr", 30, 365, out="realized_vol_30d")
     px = ema(px, 365, out="_ema").drop("_lr")
-    base = px.filter("rsi is not null")
+    base = settle(px.filter("rsi is not null"), "base")
     dollar = ema(series["dollar"].withColumn("_one", F.lit(1)), 365, key=("_one",), value="value", out="_dollar_ema")
     rights = {
         "_dollar": (dollar.select("d", F.col("value").alias("_dollar_value"), "_dollar_ema"), "d", ["_dollar_value", "_dollar_ema"]),
@@ -128,11 +129,13 @@ def training_daily(
         "_tx": (yearly_growth(series["transactions"], out="tx_count_yoy_log"), "d", ["tx_count_yoy_log"]),
         "_interest": (interest.select(F.date_add("d", 7).alias("_known"), F.col("interest").alias("investor_attention")), "_known", ["investor_attention"]),
     } | {f"_{n}": (series[n].select("d", F.col("value").alias(n)), "d", [n]) for n in ("vix", "ten", "two", "supply")}
-    rows = asof_many(base, rights, "d")
+    # What does not depend on the symbol is found once a date, then joined to all symbols.
+    dates = base.select("d").distinct()
+    dates = offset_join(dates, score.select(F.col("d").alias("_sd"), F.col("value").alias("score")), "d", "_sd", 1, ["score"])
+    dates = settle(asof_many(settle(dates, "days"), rights, "d"), "dates")
+    dates = vintage_asof(dates, vintages, "d", "obs", "rs", "re", "value", {"_m": 0, "_m52": 364, "_m13": 91})
     weeks = weekly_rsi.filter("rsi is not null").select("symbol", F.date_add("week_start", 7).alias("_next"), F.col("rsi").alias("rsi_weekly"))
-    rows = asof(rows, weeks, "d", "_next", ["rsi_weekly"], by=["symbol"])
-    rows = vintage_asof(rows, vintages, "d", "obs", "rs", "re", "value", {"_m": 0, "_m52": 364, "_m13": 91})
-    rows = offset_join(rows, score.select("d", F.col("value").alias("score")).withColumnRenamed("d", "_sd"), "d", "_sd", 1, ["score"])
+    rows = asof(base, weeks, "d", "_next", ["rsi_weekly"], by=["symbol"]).join(dates, "d")
     rows = cycle_features(rows, "d", "supply", epochs)
     rows = spread_features(rows, "ten", "two", 30, ("symbol",), "d")
     return rows.select(
@@ -146,17 +149,19 @@ def training_daily(
 
 def training_weekly(weekly_rsi: DataFrame, score: DataFrame, series: Mapping[str, DataFrame], vintages: DataFrame) -> DataFrame:
     """Weekly point-in-time features: everything as known on the week's Sunday."""
-    base = weekly_rsi.filter("rsi is not null").select("symbol", "week_start", F.date_add("week_start", 6).alias("week_end"), "close", "rsi")
+    base = settle(weekly_rsi.filter("rsi is not null").select("symbol", "week_start", F.date_add("week_start", 6).alias("week_end"), "close", "rsi"), "base")
     rights = {f"_{n}": (series[n].select("d", F.col("value").alias(n)), "d", [n]) for n in ("dollar", "ten", "two", "funds")}
-    rows = asof_many(base, rights, "week_end")
-    rows = vintage_asof(rows, vintages, "week_end", "obs", "rs", "re", "value", {"m2": 0})
-    rows = offset_join(rows, score.select(F.col("d").alias("_sd"), F.col("value").alias("score")), "week_start", "_sd", 7, ["score"])
+    dates = settle(asof_many(base.select("week_end").distinct(), rights, "week_end"), "dates")
+    dates = vintage_asof(dates, vintages, "week_end", "obs", "rs", "re", "value", {"m2": 0})
+    score = score.select(F.col("d").alias("_sd"), F.col("value").alias("score"))
+    rows = offset_join(base.join(dates, "week_end"), score, "week_start", "_sd", 7, ["score"])
     return spread_features(rows, "ten", "two", 4, ("symbol",), "week_start")
 
 
-def monitor_daily(training: DataFrame, bars: DataFrame, series: Mapping[str, DataFrame]) -> DataFrame:
-    """Raw closes and levels of the day beside the features."""
-    rows = training.join(bars.select("symbol", "d", "close"), ["symbol", "d"])
-    for name, df in series.items():
-        rows = rows.join(df.select("d", F.col("value").alias(f"{name}_level")), "d", "left")
+def monitor_daily(training: DataFrame, bars: DataFrame, levels: Mapping[str, DataFrame]) -> DataFrame:
+    """Closes and the ``levels`` of the day (``d``, ``value`` each) beside the features that a monitor plots, for every symbol."""
+    features = ["rsi_weekly", "score", "vix", "realized_vol_30d", "price_vs_ema365", "investor_attention", "active_addresses_yoy_log", "tx_count_yoy_log"]
+    rows = training.select("symbol", "d", F.col("rsi").alias("rsi_daily"), *features).join(bars.select("symbol", "d", "close"), ["symbol", "d"])
+    for name, df in levels.items():
+        rows = rows.join(df.select("d", F.col("value").alias(name)), "d", "left")
     return rows

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from marlspike.functions.scalars import normal_cdf, normal_quantile
 
@@ -17,10 +18,21 @@ def _guarded(mean: Column, spread: Column, ppy: int, same: Column) -> Column:
     return F.when(same, 0.0).otherwise(F.try_divide(mean, spread) * math.sqrt(ppy))
 
 
+def compounded(growth: Column, over: WindowSpec | None = None) -> Column:
+    """Product of growth factors, as an aggregate or over a window: 0 from a factor of 0 on, its sign changed by each negative one; nulls count as 1."""
+    on = (lambda c: c.over(over)) if over is not None else (lambda c: c)
+    size = on(F.sum(F.when(growth != 0, F.ln(F.abs(growth)))))
+    lost, turns = on(F.count_if(growth == 0)), on(F.count_if(growth < 0))
+    return F.when(lost > 0, 0.0).otherwise(F.exp(F.coalesce(size, F.lit(0.0))) * F.when(turns % 2 == 1, -1.0).otherwise(1.0))
+
+
 def equity(df: DataFrame, by: Sequence[str], order: str, r: str) -> DataFrame:
-    """``df`` with ``equity`` (compounded from 1) and ``drawdown`` (against the peak so far, at least 1).  Returns must exceed -1."""
+    """``df`` with ``equity`` (compounded from 1) and ``drawdown`` (against the peak so far, at least 1).
+
+    A return of -1 leaves nothing from there on; one below -1 turns the sign, as compounding says.
+    """
     run = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = df.withColumn("equity", F.exp(F.sum(F.log1p(r)).over(run)))
+    rows = df.withColumn("equity", compounded(1 + F.col(r), run))
     peak = F.greatest(F.lit(1.0), F.max("equity").over(run))
     return rows.withColumn("drawdown", F.col("equity") / peak - 1)
 
@@ -28,7 +40,8 @@ def equity(df: DataFrame, by: Sequence[str], order: str, r: str) -> DataFrame:
 def period_stats(df: DataFrame, by: Sequence[str], order: str = "return_week", r: str = "net", ppy: int = 52) -> DataFrame:
     """Sharpe, Sortino, yearly return, drawdown, Calmar and profit factor of each group, infinite ratios as null.
 
-    Fewer than two rows or no variance give 0.
+    Fewer than two rows or no variance give 0.  A total loss is a yearly return of -1; where losses beyond
+    -1 leave a negative product, which has no yearly rate, that return and Calmar are null.
     """
     x = F.col(r)
     down = F.when(x < 0, x)
@@ -36,7 +49,7 @@ def period_stats(df: DataFrame, by: Sequence[str], order: str = "return_week", r
     a = rows.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("sd"), (F.max(x) == F.min(x)).alias("flat"), F.count(down).alias("n_down"),
         F.stddev_samp(down).alias("down_sd"), F.max(F.abs(down)).alias("down_one"), (F.max(down) == F.min(down)).alias("down_flat"),
-        F.sum(F.log1p(x)).alias("log_growth"), F.least(F.min("drawdown"), F.lit(0.0)).alias("max_drawdown"),
+        compounded(1 + x).alias("growth"), F.least(F.min("drawdown"), F.lit(0.0)).alias("max_drawdown"),
         F.coalesce(F.sum(F.when(x > 0, x)), F.lit(0.0)).alias("gains"), F.coalesce(F.sum(F.abs(down)), F.lit(0.0)).alias("losses"),
     )
     few = F.col("n") < 2
@@ -44,7 +57,7 @@ def period_stats(df: DataFrame, by: Sequence[str], order: str = "return_week", r
     sortino = F.when(few, 0.0).when(F.col("n_down") == 0, F.when(F.col("mean") <= 0, 0.0)).when((F.col("n_down") > 1) & F.col("down_flat"), 0.0).otherwise(
         F.col("mean") / spread * math.sqrt(ppy)
     )
-    yearly = F.when(few, 0.0).otherwise(F.exp(F.col("log_growth") * (ppy / F.col("n"))) - 1)
+    yearly = F.when(few, 0.0).when(F.col("growth") >= 0, F.pow("growth", ppy / F.col("n")) - 1)
     a = a.withColumns({"sharpe": F.when(few, 0.0).otherwise(_guarded(F.col("mean"), F.col("sd"), ppy, F.col("flat"))), "sortino": sortino, "annual_return": yearly})
     calmar = F.when(few, 0.0).when(F.col("max_drawdown") == 0, F.when(F.col("annual_return") <= 0, 0.0)).otherwise(F.col("annual_return") / -F.col("max_drawdown"))
     factor = F.when(F.col("losses") == 0, F.when(F.col("gains") == 0, 0.0)).otherwise(F.try_divide("gains", "losses"))

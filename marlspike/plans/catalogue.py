@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marlspike.operators import asof, backtest, candles, features, portfolio, quality, scan, signals, stats
+from marlspike.operators import asof, backtest, candles, experiments, features, portfolio, quality, scan, signals, stats
 from marlspike.plans.sql import (
     ACTIONS, BARS, DAILY_RSI, INTEREST, MOMENTUM, RETURNS, SERIES, VINTAGES, WEEKLY_RSI, WEEKS, WEIGHTS, query, r, trend_cte,
 )
 from marlspike.sources import market
-from marlspike.sources.landing import SeriesSource, backfill, parse_candles, parse_chart, parse_eod, parse_metric_pages, parse_observations, split_missing
+from marlspike.sources.landing import CandleSource, SeriesSource, backfill, parse_candles, parse_chart, parse_eod, parse_metric_pages, parse_observations, split_missing
 from marlspike.sources.shared import settle
 from marlspike.sources.tables import merged
 
@@ -331,12 +332,6 @@ def _costs(spark: SparkSession) -> DataFrame:
     return backtest.cost_grid(market.CLASSES, market.BPS, spark)
 
 
-def _all_signals(returns: DataFrame) -> DataFrame:
-    """Every symbol's weeks with the momentum sign, null while it warms up."""
-    rows = signals.formation_sum(returns.filter("excess_log_return is not null"), 52)
-    return rows.withColumn("signal", signals.trend_sign(F.col("formation"))).select("symbol", "week_start", "signal", "realized_vol_26w", "is_capped")
-
-
 @registered(
     query(
         f"SELECT return_week, k.cost_mult, {r('gross')}, {r('gross + cost * k.cost_mult', 'net')}, {r('turnover')} FROM bt, (VALUES (1e0), (1.5e0), (2e0)) k(cost_mult)",
@@ -345,7 +340,7 @@ def _all_signals(returns: DataFrame) -> DataFrame:
 )
 def momentum_backtest(spark, sf_dir):
     rows = _books_input(spark, sf_dir)
-    return rounded(backtest.backtest(_all_signals(rows), rows, _costs(spark), multipliers=(1.0, 1.5, 2.0)))
+    return rounded(backtest.backtest(experiments.every_signal(rows, 52), rows, _costs(spark), multipliers=(1.0, 1.5, 2.0)))
 
 
 FOLDS = """
@@ -447,7 +442,26 @@ st AS (SELECT count(*) AS n, avg(net) AS m, stddev_samp(net) AS sd, stddev_samp(
 )
 def performance(spark, sf_dir):
     rows = _books_input(spark, sf_dir)
-    done = backtest.backtest(_all_signals(rows), rows, _costs(spark)).withColumn("_all", F.lit(1))
+    done = backtest.backtest(experiments.every_signal(rows, 52), rows, _costs(spark)).withColumn("_all", F.lit(1))
+    return rounded(stats.period_stats(done, ["_all"]).drop("_all"))
+
+
+LOSS_WEEK = "date'1999-02-01' and date'1999-02-07'"
+
+
+@registered(
+    query(
+        f"SELECT n, {r('m / sd * sqrt(52e0)', 'sharpe')}, {r('m / dsd * sqrt(52e0)', 'sortino')}, {r('ar', 'annual_return')}, {r('mdd', 'max_drawdown')}, {r('ar / -mdd', 'calmar')}, {r('gains / losses', 'profit_factor')} FROM st",
+        BARS, WEEKS, ACTIONS, SERIES, RETURNS, MOMENTUM, WEIGHTS, COSTS, BACKTEST,
+        STATS.replace("exp(sum(ln(1 + net)) OVER w) AS equity", "product(1 + net) OVER w AS equity").replace("exp(sum(ln(1 + net)) * 52 / count(*)) - 1", "pow(product(1 + net), 52e0 / count(*)) - 1")
+        .replace("gross + cost AS net", f"CASE WHEN return_week BETWEEN {LOSS_WEEK.replace('date', 'DATE ')} THEN -1e0 ELSE gross + cost END AS net"),
+    )
+)
+def performance_total_loss(spark, sf_dir):
+    """The same book with everything lost in one week: the equity stays at nothing from there on."""
+    rows = _books_input(spark, sf_dir)
+    done = backtest.backtest(experiments.every_signal(rows, 52), rows, _costs(spark)).withColumn("_all", F.lit(1))
+    done = done.withColumn("net", F.when(F.expr(f"return_week between {LOSS_WEEK}"), -1.0).otherwise(F.col("net")))
     return rounded(stats.period_stats(done, ["_all"]).drop("_all"))
 
 
@@ -471,11 +485,13 @@ def newey_west(spark, sf_dir):
     return rounded(stats.hac_tstat(a.join(b, "week_start").withColumn("_all", F.lit(1)), ["_all"], "week_start", "a", "b").drop("_all"))
 
 
-PBO = """
+def _pbo(blocks: int) -> str:
+    half = (1 << blocks) - 1
+    return f"""
 tn AS (SELECT symbol, week_start, excess_return AS r, row_number() OVER (PARTITION BY symbol ORDER BY week_start) - 1 AS i, count(*) OVER (PARTITION BY symbol) AS n
        FROM returns WHERE excess_return IS NOT NULL AND week_start IN (SELECT week_start FROM returns WHERE excess_return IS NOT NULL GROUP BY 1 HAVING count(*) = 5)),
-tb AS (SELECT symbol, least(i // (n // 6), 5) AS b, sum(r) AS s, count(*) AS c FROM tn GROUP BY ALL),
-tm AS (SELECT mask FROM (SELECT unnest(generate_series(0, 63)) AS mask) WHERE bit_count(mask) = 3),
+tb AS (SELECT symbol, least(i // (n // {blocks}), {blocks - 1}) AS b, sum(r) AS s, count(*) AS c FROM tn GROUP BY ALL),
+tm AS (SELECT mask FROM (SELECT unnest(generate_series(0, {half})) AS mask) WHERE bit_count(mask) = {blocks // 2}),
 tp AS (SELECT mask, symbol, sum(s) FILTER ((mask >> b) & 1 = 0) / sum(c) FILTER ((mask >> b) & 1 = 0) AS inside,
               sum(s) FILTER ((mask >> b) & 1 = 1) / sum(c) FILTER ((mask >> b) & 1 = 1) AS outside FROM tm, tb GROUP BY ALL),
 tw AS (SELECT mask, arg_max(symbol, inside) AS best FROM tp GROUP BY 1),
@@ -488,12 +504,15 @@ def _trials(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(full, "week_start", "left_semi").withColumnRenamed("week_start", "t")
 
 
-@registered(query(f"SELECT count(*) AS n_paths, {r('avg(CASE WHEN rank / 5e0 > 0.5 THEN 1e0 ELSE 0e0 END)', 'pbo')} FROM tk", BARS, WEEKS, ACTIONS, SERIES, RETURNS, PBO))
+PBO_ROW = f"SELECT count(*) AS n_paths, {r('avg(CASE WHEN rank / 5e0 > 0.5 THEN 1e0 ELSE 0e0 END)', 'pbo')} FROM tk"
+
+
+@registered(query(PBO_ROW, BARS, WEEKS, ACTIONS, SERIES, RETURNS, _pbo(6)))
 def overfit_probability(spark, sf_dir):
     return rounded(stats.pbo(_trials(spark, sf_dir), n_blocks=6))
 
 
-@registered()
+@registered(query(PBO_ROW, BARS, WEEKS, ACTIONS, SERIES, RETURNS, _pbo(20)))
 def overfit_probability_20(spark, sf_dir):
     """All 184,756 halves of 20 blocks."""
     return rounded(stats.pbo(_trials(spark, sf_dir), n_blocks=20))
@@ -561,10 +580,11 @@ def _named(series: DataFrame, names: tuple[str, ...]) -> dict[str, DataFrame]:
 
 
 def _training(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, dict[str, DataFrame]]:
-    prices = market.bars(spark, sf_dir).select("symbol", "d", "close")
+    bars = settle(market.bars(spark, sf_dir), "bars")
+    prices = bars.select("symbol", "d", "close")
     daily = scan.wilder_rsi(prices, 14)
-    weekly = scan.wilder_rsi(_weeks(spark, sf_dir).select("symbol", "week_start", "close"), 14, order="week_start")
-    named = _named(_series(spark, sf_dir), ("dollar", "vix", "ten", "two", "supply", "addresses", "transactions"))
+    weekly = scan.wilder_rsi(candles.weekly_candles(bars).select("symbol", "week_start", "close"), 14, order="week_start")
+    named = _named(settle(_series(spark, sf_dir), "series"), ("dollar", "vix", "ten", "two", "supply", "addresses", "transactions"))
     attention = features.stitch_windows(market.interest(spark, sf_dir)).filter(F.col("term") == market.CAPPED).select("d", "interest")
     out = features.training_daily(daily, weekly, market.score_series(spark, sf_dir), named, market.vintages(spark, sf_dir), attention, market.EPOCHS)
     return out, prices, named
@@ -593,21 +613,22 @@ wy AS (SELECT *, ten - two AS spread, lag(ten - two, 4) OVER (PARTITION BY symbo
 )
 def training_weekly(spark, sf_dir):
     weekly = scan.wilder_rsi(_weeks(spark, sf_dir).select("symbol", "week_start", "close"), 14, order="week_start")
-    named = _named(_series(spark, sf_dir), ("dollar", "ten", "two", "funds"))
+    named = _named(settle(_series(spark, sf_dir), "series"), ("dollar", "ten", "two", "funds"))
     return rounded(features.training_weekly(weekly, market.score_series(spark, sf_dir), named, market.vintages(spark, sf_dir)))
 
 
 @registered(
     query(
-        f"""SELECT jy.symbol, jy.d, {r('jy.rsi', 'rsi')}, {r('jy.score', 'score')}, {r('jy.close', 'close')}, {r('s.vix', 'vix_level')}, {r('s.ten', 'ten_level')}
+        f"""SELECT jy.symbol, jy.d, {r('jy.close', 'close')}, {r('jy.rsi', 'rsi_daily')}, {r('jy.rsi_weekly', 'rsi_weekly')}, {r('jy.score', 'score')}, {r('jy.vix', 'vix')},
+        {r('jy.realized_vol_30d', 'realized_vol_30d')}, {r('jy.close / jy.pema - 1', 'price_vs_ema365')}, {r('jy.interest', 'investor_attention')},
+        {r('s.addresses', 'active_addresses')}, {r('s.transactions', 'tx_count')}, {r('jy.ay', 'active_addresses_yoy_log')}, {r('jy.ty', 'tx_count_yoy_log')}
         FROM jy LEFT JOIN series s ON s.d = jy.d""",
         BARS, WEEKS, DAILY_RSI, WEEKLY_RSI, SERIES, VINTAGES, VINTAGE_VIEWS, SCORE, TRAIN_DAILY,
     )
 )
 def monitor_daily(spark, sf_dir):
     training, prices, named = _training(spark, sf_dir)
-    out = features.monitor_daily(training.select("symbol", "d", "rsi", "score"), prices, {n: named[n] for n in ("vix", "ten")})
-    return rounded(out)
+    return rounded(features.monitor_daily(training, prices, {"active_addresses": named["addresses"], "tx_count": named["transactions"]}))
 
 
 @registered(
@@ -647,16 +668,8 @@ def land_candles(spark, sf_dir):
     x = market.bars(spark, sf_dir)
     tuples = F.array(F.unix_millis(F.col("d").cast("timestamp")).cast("double"), "open", "high", "low", "close", "volume")
     raw = x.groupBy("symbol", F.trunc("d", "month").alias("m")).agg(F.to_json(F.collect_list(tuples)).alias("payload"))
-    from marlspike.sources.landing import CandleSource
-
-    parsed, _ = parse_candles(raw, CandleSource("bronze.exchange_a", "?", 1))
-    # One source is one symbol; here the symbol of each payload is joined back by its own tuples.
-    keyed = raw.select("symbol", F.explode(F.from_json("payload", "array<array<double>>")).alias("x")).select(
-        "symbol", F.col("x")[0].cast("long").alias("open_ms"), F.col("x")[4].alias("price_close")
-    )
-    return rounded(
-        parsed.drop("symbol", "source_id").join(keyed, ["open_ms", "price_close"]).select("symbol", "candle_date", "price_open", "price_high", "price_low", "price_close", "volume_traded")
-    )
+    rows, _ = parse_candles(raw, CandleSource("bronze.exchange_a", "?", 1))
+    return rounded(rows.select("symbol", "candle_date", "price_open", "price_high", "price_low", "price_close", "volume_traded"))
 
 
 @registered(
@@ -692,28 +705,28 @@ def land_metric_pages(spark, sf_dir):
 
 
 @registered(
-    query(f"SELECT d AS candle_date, {r('close', 'price_close')}, split_factor, div_cash FROM actions WHERE symbol = '2-HIGH'", BARS, ACTIONS)
+    query(f"SELECT symbol, d AS candle_date, {r('close', 'price_close')}, split_factor, div_cash FROM actions", BARS, ACTIONS)
 )
 def land_eod(spark, sf_dir):
-    """One symbol's bars with actions written as end-of-day payloads and parsed."""
-    x = market.actions(market.bars(spark, sf_dir)).filter("symbol = '2-HIGH'")
+    """Bars with actions written as end-of-day payloads, one a symbol and year, and parsed."""
+    x = market.actions(market.bars(spark, sf_dir))
     bar = F.struct(F.concat(F.col("d").cast("string"), F.lit("T00:00:00.000Z")).alias("date"), "close", F.col("split_factor").alias("splitFactor"), F.col("div_cash").alias("divCash"))
-    raw = x.groupBy(F.trunc("d", "year").alias("y")).agg(F.to_json(F.collect_list(bar)).alias("payload"))
-    rows, _ = parse_eod(raw, "2-HIGH", 4)
-    return rounded(rows.select("candle_date", "price_close", "split_factor", "div_cash"))
+    raw = x.groupBy("symbol", F.trunc("d", "year").alias("y")).agg(F.to_json(F.collect_list(bar)).alias("payload"))
+    rows, _ = parse_eod(raw, "?", 4)
+    return rounded(rows.select("symbol", "candle_date", "price_close", "split_factor", "div_cash"))
 
 
-@registered(query(f"SELECT d AS candle_date, {r('close', 'price_close')}, {r('volume', 'volume_traded')} FROM bars WHERE symbol = '5-LOW' AND day(d) <> 9", BARS))
+@registered(query(f"SELECT symbol, d AS candle_date, {r('close', 'price_close')}, {r('volume', 'volume_traded')} FROM bars WHERE day(d) <> 9", BARS))
 def land_chart(spark, sf_dir):
-    """One symbol's bars as parallel arrays, closes missing on the ninth, and parsed."""
-    x = market.bars(spark, sf_dir).filter("symbol = '5-LOW'").withColumn("close", F.when(F.dayofmonth("d") != 9, F.col("close")))
-    packed = x.groupBy(F.trunc("d", "year").alias("y")).agg(F.sort_array(F.collect_list(F.struct("d", "close", "volume"))).alias("b"))
+    """Bars as parallel arrays, one payload a symbol and year, closes missing on the ninth, and parsed."""
+    x = market.bars(spark, sf_dir).withColumn("close", F.when(F.dayofmonth("d") != 9, F.col("close")))
+    packed = x.groupBy("symbol", F.trunc("d", "year").alias("y")).agg(F.sort_array(F.collect_list(F.struct("d", "close", "volume"))).alias("b"))
     quote = F.struct(F.col("b.close").alias("close"), F.col("b.volume").alias("volume"))
     stamps = F.transform("b.d", lambda d: F.unix_seconds(d.cast("timestamp")))
     result = F.struct(stamps.alias("timestamp"), F.struct(F.array(quote).alias("quote")).alias("indicators"))
-    raw = packed.select(F.to_json(F.struct(F.struct(F.array(result).alias("result")).alias("chart")), {"ignoreNullFields": "false"}).alias("payload"))
-    rows, _ = parse_chart(raw, "5-LOW", 5)
-    return rounded(rows.select("candle_date", "price_close", "volume_traded"))
+    raw = packed.select("symbol", F.to_json(F.struct(F.struct(F.array(result).alias("result")).alias("chart")), {"ignoreNullFields": "false"}).alias("payload"))
+    rows, _ = parse_chart(raw, "?", 5)
+    return rounded(rows.select("symbol", "candle_date", "price_close", "volume_traded"))
 
 
 @registered(
@@ -748,6 +761,45 @@ def signal_checks(spark, sf_dir):
     return quality.signal_checks(_signals(spark, sf_dir), market.bars(spark, sf_dir))
 
 
+@registered(query("SELECT count(*) AS n, count(*) FILTER (month(week_start) = 3) AS not_monday, count(*) FILTER (month(week_start) IN (3, 4)) AS bad_end FROM weeks", BARS, WEEKS))
+def week_checks_faults(spark, sf_dir):
+    """Weeks of March begin a day late, those of April end a day late."""
+    late = _weeks(spark, sf_dir).withColumns(
+        {"week_start": F.date_add("week_start", F.when(F.month("week_start") == 3, 1).otherwise(0)), "week_end": F.date_add("week_end", F.when(F.month("week_start") == 4, 1).otherwise(0))}
+    )
+    return quality.week_checks(late)
+
+
+@registered(query("SELECT count(*) FILTER (month(week_start) <> 6) + count(*) FILTER (month(week_start) = 6) AS n, count(*) FILTER (month(week_start) IN (5, 6)) AS differing FROM weeks", BARS, WEEKS))
+def weekly_matches_daily_faults(spark, sf_dir):
+    """Weeks of May close too high, those of June are missing."""
+    wrong = _weeks(spark, sf_dir).filter(F.month("week_start") != 6).withColumn("close", F.col("close") * F.when(F.month("week_start") == 5, 1.01).otherwise(1.0))
+    return quality.weekly_matches_daily(wrong, market.bars(spark, sf_dir))
+
+
+@registered(
+    query("SELECT count(*) AS n, count(*) FILTER (rsi IS NOT NULL AND day(d) = 7) AS bad_warm_up, count(*) FILTER (rsi IS NOT NULL AND day(d) = 11) AS out_of_range FROM daily_rsi", BARS, DAILY_RSI)
+)
+def rsi_checks_faults(spark, sf_dir):
+    """Values are missing on the seventh and far too high on the eleventh."""
+    rows = scan.wilder_rsi(market.bars(spark, sf_dir).select("symbol", "d", "close"), 14)
+    wrong = F.when(F.dayofmonth("d") == 11, F.col("rsi") + 200).when(F.dayofmonth("d") != 7, F.col("rsi"))
+    return quality.rsi_checks(rows.withColumn("rsi", wrong), 14)
+
+
+@registered(
+    query(
+        "SELECT count(*) AS n, count(*) FILTER (day(d) = 4) AS unknown, count(*) FILTER (day(d) = 5) AS unreadable, count(*) FILTER (day(d) = 3) AS orphans FROM daily_rsi WHERE rsi IS NOT NULL",
+        BARS, DAILY_RSI,
+    )
+)
+def signal_checks_faults(spark, sf_dir):
+    """Bars are missing on the third, signals have another value on the fourth and no parameters on the fifth."""
+    day = F.dayofmonth("d")
+    wrong = _signals(spark, sf_dir).withColumns({"signal": F.when(day == 4, "WAIT").otherwise(F.col("signal")), "trigger_params": F.when(day != 5, F.col("trigger_params"))})
+    return quality.signal_checks(wrong, market.bars(spark, sf_dir).filter(F.dayofmonth("d") != 3))
+
+
 @registered(
     "SELECT CAST(o_orderdate AS DATE) AS d, o_orderpriority AS symbol, count(*) AS n FROM orders GROUP BY ALL HAVING count(*) > 1"
 )
@@ -766,38 +818,50 @@ def shared_dates(spark, sf_dir):
     return quality.overlap(a, b, ["d"])
 
 
-def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All strategies, folds and cost multipliers as one long frame of aligned weeks."""
-    rows, costs, mult = _books_input(spark, sf_dir), _costs(spark), (1.0, 1.5, 2.0)
-    folds = settle(_folds(rows), "folds")
-    tests = folds.filter("role = 'test'").select("fold", F.col("week_start").alias("return_week"))
-    momentum = backtest.backtest(_all_signals(rows), rows, costs, multipliers=mult).join(tests, "return_week")
-    each = {
-        "momentum": momentum,
-        "history": backtest.baseline_history(rows, folds, costs, multipliers=mult),
-        "hold": backtest.baseline_hold(rows, folds, costs, multipliers=mult),
-        "passive": backtest.baseline_passive(rows, folds, costs, PASSIVE, multipliers=mult),
-    }
-    out: DataFrame | None = None
-    for name, df in each.items():
-        part = df.select(F.lit(name).alias("strategy"), "fold", "cost_mult", "return_week", "gross", "net", "turnover")
-        out = part if out is None else out.unionByName(part)
-    return settle(backtest.aligned(settle(out, "weeks"), ["fold", "cost_mult"], len(each)), "grid")
+GRID_FIXED = ("signs", "fx", "fy", "fz", "held", "steps", "prior", "moves", "bt")
 
 
-@registered()
+def _prefixed(sql: str, prefix: str, names: tuple[str, ...] = GRID_FIXED) -> str:
+    """The same common table expressions under names of their own."""
+    for n in names:
+        sql = re.sub(rf"\b{n}\b", prefix + n, sql)
+    return sql
+
+
+GRID = """
+ga AS (SELECT 'momentum' AS strategy, t.fold, t.week_start AS return_week, b.gross, b.cost FROM m_bt b JOIN folds t ON t.role = 'test' AND t.week_start = b.return_week
+       UNION ALL SELECT 'history', fold, return_week, gross, cost FROM y_bt UNION ALL SELECT 'hold', fold, return_week, gross, cost FROM h_bt
+       UNION ALL SELECT 'passive', fold, return_week, gross, cost FROM po),
+gc AS (SELECT fold, return_week FROM ga GROUP BY ALL HAVING count(DISTINCT strategy) = 4),
+gb AS (SELECT strategy, fold, cost_mult, return_week, gross + cost * cost_mult AS net FROM ga JOIN gc USING (fold, return_week), (VALUES (1e0), (1.5e0), (2e0)) k(cost_mult)),
+ge AS (SELECT *, product(1 + net) OVER w AS equity FROM gb WINDOW w AS (PARTITION BY strategy, cost_mult, fold ORDER BY return_week)),
+gd AS (SELECT *, equity / greatest(1e0, max(equity) OVER (PARTITION BY strategy, cost_mult, fold ORDER BY return_week)) - 1 AS drawdown FROM ge),
+gs AS (SELECT strategy, cost_mult, fold, count(*) AS n, avg(net) AS m, stddev_samp(net) AS sd, count(*) FILTER (net < 0) AS nd, -min(net) AS worst,
+              stddev_samp(net) FILTER (net < 0) AS dsd, product(1 + net) AS growth, least(min(drawdown), 0) AS mdd FROM gd GROUP BY ALL),
+gr AS (SELECT *, CASE WHEN n < 2 THEN 0e0 ELSE pow(growth, 52e0 / n) - 1 END AS ar FROM gs),
+gt AS (SELECT strategy, cost_mult, count(*) AS n_folds, avg(CASE WHEN n < 2 OR sd = 0 THEN 0e0 ELSE m / sd * sqrt(52e0) END) AS cv_sharpe,
+              avg(CASE WHEN n < 2 THEN 0e0 WHEN nd = 0 THEN CASE WHEN m <= 0 THEN 0e0 END WHEN nd = 1 THEN m / worst * sqrt(52e0) ELSE m / dsd * sqrt(52e0) END) AS cv_sortino,
+              avg(ar) AS cv_annual_return, avg(mdd) AS cv_max_drawdown, avg(CASE WHEN n < 2 THEN 0e0 WHEN mdd = 0 THEN CASE WHEN ar <= 0 THEN 0e0 END ELSE ar / -mdd END) AS cv_calmar
+       FROM gr GROUP BY ALL),
+hd AS (SELECT row_number() OVER (ORDER BY a.fold, a.return_week) AS i, a.net - b.net AS d FROM gb a JOIN gb b USING (fold, return_week)
+       WHERE a.strategy = 'momentum' AND b.strategy = 'history' AND a.cost_mult = 1 AND b.cost_mult = 1)"""
+
+
+def _grid_config() -> experiments.GridConfig:
+    return experiments.GridConfig(passive=PASSIVE)
+
+
+@registered(
+    query(
+        "SELECT strategy, cost_mult, n_folds, " + ", ".join(r(f"cv_{c}") for c in experiments.METRICS)
+        + f""", CASE WHEN g THEN n END AS gate_n_obs, {r('CASE WHEN g THEN m END', 'mean_delta')}, {r('CASE WHEN g THEN t END', 't_stat')}, CASE WHEN g THEN t > 1.64 END AS gate_pass
+        FROM (SELECT *, strategy = 'momentum' AND cost_mult = 1 AS g, CASE WHEN v > 0 THEN m / sqrt(v / n) ELSE 0 END AS t FROM gt, hm, hv)""",
+        BARS, WEEKS, ACTIONS, SERIES, RETURNS, MOMENTUM, WEIGHTS, COSTS, _prefixed(BACKTEST, "m_"), FOLDS, _prefixed(HISTORY, "y_"), _prefixed(HOLD, "h_"), DRIFT,
+        GRID, HAC[HAC.index("hm AS"):],
+    )
+)
 def experiment_grid(spark, sf_dir):
     """Ledger rows: means over folds by strategy and cost, the gate on momentum at plain cost."""
-    grid = _grid(spark, sf_dir)
-    by_fold = stats.period_stats(grid, ["strategy", "cost_mult", "fold"])
-    rows = by_fold.groupBy("strategy", "cost_mult").agg(
-        F.count(F.lit(1)).alias("n_folds"), *(F.avg(c).alias(f"cv_{c}") for c in ("sharpe", "sortino", "annual_return", "max_drawdown", "calmar"))
-    )
-    base = grid.filter("cost_mult = 1.0")
-    pooled = base.groupBy("fold", "return_week").agg(
-        F.max(F.when(F.col("strategy") == "momentum", F.col("net"))).alias("a"), F.max(F.when(F.col("strategy") == "history", F.col("net"))).alias("b")
-    )
-    order = pooled.withColumn("at", F.struct("fold", "return_week")).withColumn("strategy", F.lit("momentum")).withColumn("cost_mult", F.lit(1.0))
-    gate = stats.hac_tstat(order, ["strategy", "cost_mult"], "at", "a", "b")
-    gate = gate.select("strategy", "cost_mult", F.col("n").alias("gate_n_obs"), "mean_delta", "t_stat", (F.col("t_stat") > 1.64).alias("gate_pass"))
-    return rounded(rows.join(gate, ["strategy", "cost_mult"], "left"))
+    cfg = _grid_config()
+    grid = experiments.run_grid(_books_input(spark, sf_dir), _costs(spark), cfg)
+    return rounded(experiments.grid_results(grid, cfg))

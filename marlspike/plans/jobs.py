@@ -1,24 +1,60 @@
-"""The daily jobs over a catalogue of tables: bronze bars to candles, features, signals and weights.
+"""The jobs over a catalogue of tables: payloads to bronze tables, bars to candles, features, signals and weights, and experiment runs.
 
-Every job can be replayed: each table is written by key upserts.
+Every job can be replayed: each table is written by key upserts.  The daily jobs process a few days
+before their range again (``reprocess_days``), so that what was late for the last run comes in with the next.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from datetime import date, datetime
+from collections.abc import Collection, Mapping
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlspike.operators import candles, features, portfolio, scan, signals
+from marlspike.operators import candles, experiments, features, portfolio, scan, signals
+from marlspike.sources import landing
 from marlspike.sources.shared import settle
 from marlspike.sources.tables import Catalog
 
 RSI_STRATEGY, MOMENTUM_STRATEGY = 1, 3
+#: Days before a run's range that are processed again.
+REPROCESS_DAYS = 3
 PRICES = {"price_open": "open", "price_high": "high", "price_low": "low", "price_close": "close", "volume_traded": "volume"}
 
 
+def land(catalog: Catalog, table: str, raw: DataFrame, run_at: datetime, start: date | None = None, end: date | None = None, reprocess_days: int = REPROCESS_DAYS) -> DataFrame:
+    """Payloads of a configured source into its bronze table; returns what was not landed: rejects of bars, rows without a value of series.
+
+    ``start`` (less ``reprocess_days``) and ``end`` bound the days that are taken; without ``start`` all are.
+    """
+    cfg = landing.SOURCES[table]
+    since = start - timedelta(days=reprocess_days) if start else None
+    until = end or start
+    if isinstance(cfg, landing.CandleSource):
+        rows, bad = landing.land_candles(raw, cfg, since, until, run_at)
+    elif isinstance(cfg, landing.BarSource):
+        rows, bad = landing.land_bars(raw, cfg, since, until, run_at)
+    else:
+        rows, bad = landing.land_series(raw, cfg, since, until, run_at)
+    catalog.upsert(table, rows)
+    return bad
+
+
+def land_vintages(catalog: Catalog, raw: DataFrame, source_id: int, run_at: datetime) -> DataFrame:
+    """Vintage payloads; the end of a vintage that was open is updated by its key.  Returns rows without a value."""
+    rows, gone = landing.land_vintages(raw, source_id, run_at)
+    catalog.upsert("bronze.money_vintages", rows)
+    return gone
+
+
+def land_interest(catalog: Catalog, rows: DataFrame, term: str, window_start: date, source_id: int, run_at: datetime) -> DataFrame:
+    """One request window of weekly interest.  Returns weeks without a value."""
+    kept, gone = landing.land_interest(rows, term, window_start, source_id, run_at)
+    catalog.upsert("bronze.interest", kept)
+    return gone
+
+
 def _bars(rows: DataFrame) -> DataFrame:
     return rows.select("symbol", F.col("candle_date").alias("d"), *(F.col(a).alias(b) for a, b in PRICES.items()))
 
@@ -42,15 +78,15 @@ def conform(catalog: Catalog, sources: Mapping[int, DataFrame], start: date, end
     stamp = F.lit(run_at).cast("timestamp")
     daily = candles.conform_daily(sources, priority, start, end)
     catalog.upsert("silver.candles", daily.withColumns({"temporality": F.lit("1d"), "datetime_update": stamp}))
-    days = read_daily(catalog)
+    days = read_daily(catalog, start - timedelta(days=start.weekday()))
     weekly = candles.weekly_candles(days, since=start).withColumns(
         {"temporality": F.lit("1w"), "period_start": F.col("week_start").cast("timestamp"), "period_end": F.col("week_end").cast("timestamp"), "datetime_update": stamp}
     )
     catalog.upsert("silver.candles", weekly, update=["open", "high", "low", "close", "volume", "period_end", "datetime_update"])
 
 
-def read_daily(catalog: Catalog) -> DataFrame:
-    rows = catalog.read("silver.candles").filter("temporality = '1d'")
+def read_daily(catalog: Catalog, start: date | None = None) -> DataFrame:
+    rows = catalog.read("silver.candles", start).filter("temporality = '1d'")
     return rows.select("symbol", F.to_date("period_start").alias("d"), "open", "high", "low", "close", "volume")
 
 
@@ -78,8 +114,12 @@ def refresh_rsi(catalog: Catalog, period: int, start: date, run_at: datetime) ->
         catalog.upsert("silver.rsi", out)
 
 
-def run_rsi_signals(catalog: Catalog, sources: Mapping[int, DataFrame], start: date, end: date, run_at: datetime) -> None:
-    """Bronze to signals of the RSI strategy for a range of dates."""
+def run_rsi_signals(
+    catalog: Catalog, sources: Mapping[int, DataFrame], start: date | None, end: date | None, run_at: datetime, reprocess_days: int = REPROCESS_DAYS
+) -> None:
+    """Bronze to signals of the RSI strategy for a range of dates (by default the day before the run) and ``reprocess_days`` before it."""
+    start, end = landing.run_range(start, end, run_at.date())
+    start -= timedelta(days=reprocess_days)
     p = catalog.active("strategy.rsi_params")
     params = signals.RsiParams(p["rsi_period"], p["trend_start"], p["trend_end"], p["oversold"], p["overbought"])
     conform(catalog, sources, start, end, run_at)
@@ -94,11 +134,21 @@ def run_rsi_signals(catalog: Catalog, sources: Mapping[int, DataFrame], start: d
     catalog.upsert("gold.signals", out)
 
 
-def run_momentum(catalog: Catalog, actions: DataFrame | None, rate: DataFrame | None, capped: frozenset[str], run_at: datetime) -> None:
-    """Weekly candles to momentum signals, and from the stored signals to both weight books."""
+def in_universe(rows: DataFrame, universe: Collection[str]) -> DataFrame:
+    """Rows of the universe's symbols; an empty universe is an error."""
+    if not universe:
+        raise ValueError("the universe is empty")
+    return rows.filter(F.col("symbol").isin(sorted(universe)))
+
+
+def run_momentum(
+    catalog: Catalog, actions: DataFrame | None, rate: DataFrame | None, capped: frozenset[str], run_at: datetime, universe: Collection[str]
+) -> None:
+    """Weekly candles of the ``universe`` to momentum signals, and from the stored signals to both weight books."""
     p = catalog.active("strategy.momentum_params")
     params = signals.MomentumParams(p["horizon"], p["vol_target"], p["leverage_cap"])
-    returns = features.weekly_returns(read_weekly(catalog), actions, rate)
+    actions = in_universe(actions, universe) if actions is not None else None
+    returns = features.weekly_returns(in_universe(read_weekly(catalog), universe), actions, rate)
     rows = signals.momentum_signals(returns, params)
     stamp = F.lit(run_at).cast("timestamp")
     catalog.upsert(
@@ -108,7 +158,17 @@ def run_momentum(catalog: Catalog, actions: DataFrame | None, rate: DataFrame |
             F.col("label").alias("signal"), "trigger_params", stamp.alias("datetime_update"),
         ),
     )
-    stored = catalog.read("gold.signals").filter(F.col("strategy_id") == MOMENTUM_STRATEGY)
+    stored = in_universe(catalog.read("gold.signals").filter(F.col("strategy_id") == MOMENTUM_STRATEGY), universe)
     read = signals.read_trigger(stored.select("symbol", F.to_date("signal_start").alias("week_start"), "trigger_params"))
     book = portfolio.build_weights(read.withColumn("is_capped", F.col("symbol").isin(list(capped))), portfolio.PortfolioParams(p["scheme"], p["cap"]))
     catalog.upsert("gold.weights", book.withColumns({"strategy_id": F.lit(MOMENTUM_STRATEGY), "datetime_update": stamp}))
+
+
+def run_experiments(
+    catalog: Catalog, returns: DataFrame, costs: DataFrame, cfg: experiments.GridConfig, run_id: str, run_at: datetime, label: str | None = None
+) -> DataFrame:
+    """Runs the grid and adds its rows to the ledger (a run that is there already stays as it is); returns the run's rows."""
+    returns = settle(returns, "returns")
+    results = experiments.grid_results(experiments.run_grid(returns, costs, cfg), cfg)
+    catalog.seed("strategy.experiment_runs", experiments.ledger_rows(results, cfg, run_id, run_at, label))
+    return catalog.read("strategy.experiment_runs").filter(F.col("run_id") == run_id)

@@ -44,11 +44,18 @@ TABLES = {
             "param_version bigint, is_active boolean, horizon bigint, vol_target double, vol_lookback bigint, periods_per_year bigint, leverage_cap double, scheme string, cap double",
             ("param_version",),
         ),
-        Table("strategy.experiment_runs", "run_id string, created_at timestamp, label string, strategy string, cost_mult double, params string", ("run_id",)),
+        Table(
+            "strategy.experiment_runs",
+            "run_id string, created_at timestamp, label string, strategy string, cost_mult double, params string, portfolio_params string, n_folds bigint, "
+            "cv_sharpe double, cv_sortino double, cv_annual_return double, cv_max_drawdown double, cv_calmar double, deflated_sharpe double, pbo double, hlz_tstat double, "
+            "n_trials bigint, holdout_spent boolean, holdout_sharpe double, promoted boolean, "
+            "gate_mean_delta double, gate_t_hac double, gate_pass boolean, gate_n_obs bigint, gate_max_lag bigint, gate_threshold double, gate_cost_mult double",
+            ("run_id", "strategy", "cost_mult"),
+        ),
         *(Table(f"bronze.{n}", CANDLE + AUDIT, ("symbol", "candle_date"), "candle_date") for n in ("exchange_a", "exchange_b", "chart_etf")),
         Table("bronze.eod_etf", CANDLE + ACTIONS + AUDIT, ("symbol", "candle_date"), "candle_date"),
         _series("valuation_score", "d", "value"),
-        _series("dollar_index", "d", "value"),
+        Table("bronze.dollar_index", f"d date, price_open double, price_high double, price_low double, price_close double, volume_traded double{AUDIT}", ("d",)),
         *(_series(n, "obs_date", "obs_value") for n in ("rate_10y", "rate_2y", "rate_funds", "volatility_index")),
         *(_series(n, "metric_date", "metric_value", "bigint") for n in ("supply", "active_addresses", "transactions")),
         Table("bronze.money_vintages", f"obs date, rs date, re date, value double{AUDIT}", ("obs", "rs")),

@@ -1,14 +1,15 @@
 """Parsing of raw payload files into typed rows.
 
 Every parser takes a frame with one payload a row (``payload``, JSON or CSV text) and returns
-``(rows, rejects)``: what could be read, and the payloads that could not.
+``(rows, rejects)``: what could be read, and the payloads that could not.  Other columns of the
+payload rows are carried into both; a ``symbol`` column among them names each payload's symbol
+in place of the parser's own.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,14 +27,29 @@ class CandleSource:
     source_id: int
 
 
+@dataclass(frozen=True)
+class BarSource:
+    """A source of daily bars: payloads of end-of-day arrays (``eod``) or charts (``chart``)."""
+
+    table: str
+    symbol: str
+    source_id: int
+    shape: str = "eod"
+
+
 @dataclass(frozen=True)
 class SeriesSource:
-    """A series: the metric's name in the payload and where it lands; ``whole`` values are rounded half to even."""
+    """A series: the metric's name in the payload, where it lands, and its payload's shape.
+
+    ``shape`` is ``pages`` (metric cells), ``observations``, ``csv`` or ``dollar``; ``whole`` values are
+    rounded half to even.
+    """
 
     table: str
     metric: str
     source_id: int
     whole: bool = False
+    shape: str = "pages"
 
 
 def raw_files(spark: SparkSession, path: str) -> DataFrame:
@@ -41,6 +57,16 @@ def raw_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("value").alias("payload"))
 
 
+def _carried(raw: DataFrame) -> list[str]:
+    """Columns of payload rows besides the payload."""
+    return [c for c in raw.columns if c != "payload"]
+
+
+def _with_symbol(raw: DataFrame, symbol: str) -> DataFrame:
+    """Payload rows with a symbol: their own, or else ``symbol``."""
+    return raw if "symbol" in raw.columns else raw.withColumn("symbol", F.lit(symbol))
+
+
 def _number(text: Column) -> Column:
     """A number; ``.``, empty and NaN are missing, anything else must parse."""
     t = F.trim(text)
@@ -49,12 +75,14 @@ def _number(text: Column) -> Column:
 
 def parse_candles(raw: DataFrame, cfg: CandleSource) -> Parsed:
     """Arrays of ``[open_ms, open, high, low, close, volume]``; the date is the UTC date of the opening."""
+    raw = _with_symbol(raw, cfg.symbol)
+    rest = _carried(raw)
     rows = raw.withColumn("c", F.from_json("payload", "array<array<double>>"))
-    bad = rows.filter("c is null").select("payload")
-    x = rows.filter("c is not null").select(F.explode("c").alias("x"))
+    bad = rows.filter("c is null").select(*rest, "payload")
+    x = rows.filter("c is not null").select(*rest, F.explode("c").alias("x"))
     names = ("price_open", "price_high", "price_low", "price_close", "volume_traded")
     out = x.select(
-        F.lit(cfg.symbol).alias("symbol"), F.to_date(F.timestamp_millis(F.col("x")[0].cast("long"))).alias("candle_date"),
+        *rest, F.to_date(F.timestamp_millis(F.col("x")[0].cast("long"))).alias("candle_date"),
         *(F.col("x")[i + 1].alias(n) for i, n in enumerate(names)), F.lit(cfg.source_id).cast("long").alias("source_id"), F.col("x")[0].cast("long").alias("open_ms"),
     )
     return out, bad
@@ -69,60 +97,73 @@ def parse_chart(raw: DataFrame, symbol: str, source_id: int) -> Parsed:
     """Parallel arrays of a chart payload; bars without a close are skipped, payloads with an error are rejected."""
     numbers = "open:array<double>,high:array<double>,low:array<double>,close:array<double>,volume:array<double>"
     shape = f"struct<chart:struct<error:string,result:array<struct<timestamp:array<bigint>,indicators:struct<quote:array<struct<{numbers}>>>>>>>"
+    raw = _with_symbol(raw, symbol)
+    rest = _carried(raw)
     rows = raw.withColumn("j", F.from_json("payload", shape)).withColumn("r", F.get("j.chart.result", F.lit(0)))
     ok = F.col("r").isNotNull() & F.col("j.chart.error").isNull()
     q = F.get("r.indicators.quote", F.lit(0))
     none = F.array().cast("array<double>")  # a missing array must not void the others
     zipped = F.arrays_zip(F.col("r.timestamp").alias("t"), *(F.coalesce(q[n], none).alias(n) for n in ("open", "high", "low", "close", "volume")))
-    bars = rows.filter(ok).select(F.inline(zipped)).filter("close is not null and t is not null")
+    bars = rows.filter(ok).select(*rest, F.explode(zipped).alias("_b"))
+    bars = bars.select(*rest, *(F.col(f"_b.{n}").alias(f"_{n}") for n in ("t", "open", "high", "low", "close", "volume"))).filter("_close is not null and _t is not null")
     out = bars.select(
-        F.lit(symbol).alias("symbol"), F.to_date(F.timestamp_seconds("t")).alias("candle_date"), F.col("open").alias("price_open"), F.col("high").alias("price_high"),
-        F.col("low").alias("price_low"), F.col("close").alias("price_close"), F.col("volume").alias("volume_traded"), F.lit(source_id).cast("long").alias("source_id"),
+        *rest, F.to_date(F.timestamp_seconds("_t")).alias("candle_date"), F.col("_open").alias("price_open"), F.col("_high").alias("price_high"),
+        F.col("_low").alias("price_low"), F.col("_close").alias("price_close"), F.col("_volume").alias("volume_traded"), F.lit(source_id).cast("long").alias("source_id"),
     )
-    return out, rows.filter(~ok).select("payload")
+    return out, rows.filter(~ok).select(*rest, "payload")
+
+
+def parse_dollar_index(raw: DataFrame, source_id: int) -> Parsed:
+    """Chart payloads of the dollar index: ``d`` and the bar's prices, the date being the key."""
+    rows, bad = parse_chart(raw, "dollar", source_id)
+    return rows.drop("symbol").withColumnRenamed("candle_date", "d"), bad.drop("symbol")
 
 
 def parse_eod(raw: DataFrame, symbol: str, source_id: int) -> Parsed:
     """Arrays of end-of-day bars with split factor and dividend; bars without a close are skipped, an error object is rejected."""
     shape = "array<struct<date:string,open:double,high:double,low:double,close:double,volume:double,splitFactor:double,divCash:double>>"
+    raw = _with_symbol(raw, symbol)
+    rest = _carried(raw)
     rows = raw.withColumn("is_list", F.ltrim("payload").startswith("[")).withColumn("j", F.when(F.col("is_list"), F.from_json("payload", shape)))
-    bars = rows.filter("j is not null").select(F.inline("j")).filter("close is not null and date is not null")
+    bars = rows.filter("j is not null").select(*rest, F.explode("j").alias("_b")).filter("_b.close is not null and _b.date is not null")
     out = bars.select(
-        F.lit(symbol).alias("symbol"), F.to_date(F.substring("date", 1, 10)).alias("candle_date"), F.col("open").alias("price_open"), F.col("high").alias("price_high"),
-        F.col("low").alias("price_low"), F.col("close").alias("price_close"), F.col("volume").alias("volume_traded"), F.col("splitFactor").alias("split_factor"),
-        F.col("divCash").alias("div_cash"), F.lit(source_id).cast("long").alias("source_id"),
+        *rest, F.to_date(F.substring("_b.date", 1, 10)).alias("candle_date"), F.col("_b.open").alias("price_open"), F.col("_b.high").alias("price_high"),
+        F.col("_b.low").alias("price_low"), F.col("_b.close").alias("price_close"), F.col("_b.volume").alias("volume_traded"), F.col("_b.splitFactor").alias("split_factor"),
+        F.col("_b.divCash").alias("div_cash"), F.lit(source_id).cast("long").alias("source_id"),
     )
-    return out, rows.filter("j is null").select("payload")
+    return out, rows.filter("j is null").select(*rest, "payload")
 
 
 def parse_observations(raw: DataFrame, source_id: int) -> Parsed:
     """Macro observations: ``obs_date``, ``obs_value``."""
+    rest = _carried(raw)
     rows = raw.withColumn("j", F.from_json("payload", "observations array<struct<date:string,value:string>>"))
-    out = rows.filter("j.observations is not null").select(F.inline("j.observations"))
-    return out.select(F.to_date("date").alias("obs_date"), _number(F.col("value")).alias("obs_value"), F.lit(source_id).cast("long").alias("source_id")), rows.filter(
-        "j.observations is null"
-    ).select("payload")
+    out = rows.filter("j.observations is not null").select(*rest, F.explode("j.observations").alias("_o"))
+    out = out.select(*rest, F.to_date("_o.date").alias("obs_date"), _number(F.col("_o.value")).alias("obs_value"), F.lit(source_id).cast("long").alias("source_id"))
+    return out, rows.filter("j.observations is null").select(*rest, "payload")
 
 
 def parse_vintages(raw: DataFrame, source_id: int) -> Parsed:
     """Macro observations with the dates on which each value was known; open ends are 9999-12-31."""
+    rest = _carried(raw)
     rows = raw.withColumn("j", F.from_json("payload", "observations array<struct<realtime_start:string,realtime_end:string,date:string,value:string>>"))
-    out = rows.filter("j.observations is not null").select(F.inline("j.observations"))
+    out = rows.filter("j.observations is not null").select(*rest, F.explode("j.observations").alias("_o"))
     out = out.select(
-        F.to_date("date").alias("obs"), F.to_date("realtime_start").alias("rs"), F.coalesce(F.to_date("realtime_end"), F.lit(date(9999, 12, 31))).alias("re"),
-        _number(F.col("value")).alias("value"), F.lit(source_id).cast("long").alias("source_id"),
+        *rest, F.to_date("_o.date").alias("obs"), F.to_date("_o.realtime_start").alias("rs"), F.coalesce(F.to_date("_o.realtime_end"), F.lit(date(9999, 12, 31))).alias("re"),
+        _number(F.col("_o.value")).alias("value"), F.lit(source_id).cast("long").alias("source_id"),
     )
-    return out, rows.filter("j.observations is null").select("payload")
+    return out, rows.filter("j.observations is null").select(*rest, "payload")
 
 
 def parse_metric_pages(raw: DataFrame, cfg: SeriesSource) -> Parsed:
     """Pages of metric cells, the metric's name being configured."""
+    rest = _carried(raw)
     rows = raw.withColumn("j", F.from_json("payload", "data array<map<string,string>>"))
-    cells = rows.filter("j.data is not null").select(F.explode("j.data").alias("m"))
-    value = _number(F.element_at("m", cfg.metric))
+    cells = rows.filter("j.data is not null").select(*rest, F.explode("j.data").alias("_m"))
+    value = _number(F.element_at("_m", cfg.metric))
     value = F.bround(value, 0).cast("long") if cfg.whole else value
-    out = cells.select(F.to_date(F.substring(F.element_at("m", "time"), 1, 10)).alias("metric_date"), value.alias("metric_value"), F.lit(cfg.source_id).cast("long").alias("source_id"))
-    return out, rows.filter("j.data is null").select("payload")
+    out = cells.select(*rest, F.to_date(F.substring(F.element_at("_m", "time"), 1, 10)).alias("metric_date"), value.alias("metric_value"), F.lit(cfg.source_id).cast("long").alias("source_id"))
+    return out, rows.filter("j.data is null").select(*rest, "payload")
 
 
 def parse_metric_csv(raw: DataFrame, source_id: int) -> Parsed:
@@ -148,6 +189,15 @@ def before(rows: DataFrame, day: str, as_of: date) -> DataFrame:
     return rows.filter(F.col(day) < F.lit(as_of))
 
 
+def run_range(start: date | None, end: date | None, today: date) -> tuple[date, date]:
+    """The days of a run: by default yesterday, and from ``start`` that one day; an end before its start is an error."""
+    start = start or today - timedelta(days=1)
+    end = end or start
+    if end < start:
+        raise ValueError("the end lies before the start")
+    return start, end
+
+
 def in_range(rows: DataFrame, day: str, start: date | None, end: date | None = None) -> DataFrame:
     """Rows from ``start`` to ``end``, by default that one day; an end before its start is an error."""
     if start is None:
@@ -179,22 +229,64 @@ def request_windows(spark: SparkSession, start: date, end: date, days: int, over
     return rows.select("window_start", F.least(F.date_add("window_start", days), F.lit(end)).alias("window_end"))
 
 
+def resume_points(interest: DataFrame) -> DataFrame:
+    """The latest window stored for each term: where its next request begins."""
+    return interest.groupBy("term").agg(F.max("window_start").alias("window_start"))
+
+
+def _stamped(rows: DataFrame, as_of: datetime | None) -> DataFrame:
+    return rows.withColumn("datetime_update", F.lit(as_of).cast("timestamp"))
+
+
 def land_candles(raw: DataFrame, cfg: CandleSource, start: date | None, end: date | None, as_of: datetime) -> Parsed:
     """Closed candles of a date range, stamped with the time of the run."""
     rows, bad = parse_candles(raw, cfg)
     rows = in_range(closed_candles(rows, int(as_of.timestamp() * 1000)), "candle_date", start, end)
-    return rows.drop("open_ms").withColumn("datetime_update", F.lit(as_of)), bad
+    return _stamped(rows.drop("open_ms"), as_of), bad
 
 
-def land_series(raw: DataFrame, cfg: SeriesSource, start: date | None = None, end: date | None = None, as_of: datetime | None = None) -> Parsed:
-    """Values of a date range and the rows without a value."""
-    rows, _ = parse_metric_pages(raw, cfg)
-    kept, gone = split_missing(in_range(rows, "metric_date", start, end), "metric_value")
-    return kept.withColumn("datetime_update", F.lit(as_of).cast("timestamp")), gone
+def land_bars(raw: DataFrame, cfg: BarSource, start: date | None, end: date | None, as_of: datetime) -> Parsed:
+    """Bars of end-of-day or chart payloads of a date range, without the day that is still open."""
+    rows, bad = (parse_eod if cfg.shape == "eod" else parse_chart)(raw, cfg.symbol, cfg.source_id)
+    rows = before(in_range(rows, "candle_date", start, end), "candle_date", as_of.date())
+    return _stamped(rows, as_of), bad
 
 
-SOURCES: Sequence[CandleSource | SeriesSource] = (
-    CandleSource("bronze.exchange_a", "BTCUSD", 1), CandleSource("bronze.exchange_b", "BTCUSD", 2), SeriesSource("bronze.rate_10y", "value", 3),
-    SeriesSource("bronze.rate_2y", "value", 4), SeriesSource("bronze.rate_funds", "value", 5), SeriesSource("bronze.volatility_index", "value", 6),
-    SeriesSource("bronze.supply", "SplyCur", 7, True), SeriesSource("bronze.active_addresses", "AdrActCnt", 8, True), SeriesSource("bronze.transactions", "TxCnt", 9, True),
-)
+def land_series(raw: DataFrame, cfg: SeriesSource, start: date | None = None, end: date | None = None, as_of: datetime | None = None) -> Parsed:
+    """Values of a date range and the rows without a value."""
+    if cfg.shape == "observations":
+        day, value, (rows, _) = "obs_date", "obs_value", parse_observations(raw, cfg.source_id)
+    elif cfg.shape == "csv":
+        day, value, (rows, _) = "d", "value", parse_metric_csv(raw, cfg.source_id)
+    elif cfg.shape == "dollar":
+        day, value, (rows, _) = "d", "price_close", parse_dollar_index(raw, cfg.source_id)
+        rows = before(rows, day, as_of.date()) if as_of else rows
+    else:
+        day, value, (rows, _) = "metric_date", "metric_value", parse_metric_pages(raw, cfg)
+    kept, gone = split_missing(in_range(rows, day, start, end), value)
+    return _stamped(kept, as_of), gone
+
+
+def land_vintages(raw: DataFrame, source_id: int, as_of: datetime | None = None) -> Parsed:
+    """Vintages with a value, and those without."""
+    kept, gone = split_missing(parse_vintages(raw, source_id)[0], "value")
+    return _stamped(kept, as_of), gone
+
+
+def land_interest(rows: DataFrame, term: str, window_start: date, source_id: int, as_of: datetime | None = None) -> Parsed:
+    """Whole weeks of one request window with a value, and those without."""
+    kept, gone = split_missing(parse_interest(rows, term, window_start, source_id), "interest")
+    return _stamped(kept, as_of), gone
+
+
+SOURCES: dict[str, CandleSource | BarSource | SeriesSource] = {
+    s.table: s
+    for s in (
+        CandleSource("bronze.exchange_a", "BTCUSD", 1), CandleSource("bronze.exchange_b", "BTCUSD", 2),
+        SeriesSource("bronze.rate_10y", "value", 3, shape="observations"), SeriesSource("bronze.rate_2y", "value", 4, shape="observations"),
+        SeriesSource("bronze.rate_funds", "value", 5, shape="observations"), SeriesSource("bronze.volatility_index", "value", 6, shape="observations"),
+        SeriesSource("bronze.supply", "SplyCur", 7, True), SeriesSource("bronze.active_addresses", "AdrActCnt", 8, True), SeriesSource("bronze.transactions", "TxCnt", 9, True),
+        SeriesSource("bronze.valuation_score", "value", 10, shape="csv"), SeriesSource("bronze.dollar_index", "price_close", 11, shape="dollar"),
+        BarSource("bronze.chart_etf", "", 12, "chart"), BarSource("bronze.eod_etf", "", 13, "eod"),
+    )
+}

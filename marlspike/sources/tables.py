@@ -1,8 +1,10 @@
 """Layered Parquet tables with key-based upserts and filtered deletes.
 
 A table is partitioned by the month of its time column.  An upsert reads only the partitions
-that the batch touches and overwrites exactly those.  Readers of a partition that is being
-replaced see Spark's usual file semantics; one writer a table is assumed.
+that the batch touches and overwrites exactly those.  What replaces them is staged first, whole;
+where a writer is lost between staging and replacing, the next writer (or reader, if the table
+is gone) finishes from the staged copy.  Readers of a partition that is being replaced see
+Spark's usual file semantics; one writer a table is assumed.
 """
 
 from __future__ import annotations
@@ -21,9 +23,9 @@ LAYERS = ("bronze", "silver", "gold")
 
 
 def latest(batch: DataFrame, keys: Sequence[str], order: str | None) -> DataFrame:
-    """One row a key: the one with the greatest ``order``."""
-    by = F.col(order).desc_nulls_last() if order else F.lit(1)
-    w = Window.partitionBy(*keys).orderBy(by)
+    """One row a key: the one with the greatest ``order``, of equal ones that with the greatest values in the other columns' order."""
+    rest = [c for c in batch.columns if c not in keys and c != order]
+    w = Window.partitionBy(*keys).orderBy(*(F.col(c).desc_nulls_last() for c in ([order] if order else []) + rest), *([] if order or rest else [F.lit(1)]))
     return batch.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
 
@@ -61,18 +63,41 @@ class Catalog:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
 
-    def read(self, name: str) -> DataFrame:
-        """The table, empty if it was never written."""
+    def _fs(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
+    def _delete(self, path: str) -> None:
+        fs, p = self._fs(path)
+        fs.delete(p, True)
+
+    def _rows(self, name: str, months: tuple[str | None, str | None] = (None, None)) -> DataFrame:
+        """The stored rows; of a partitioned table with ``MONTH``, the partition column itself, so that filters on it prune files."""
         table = self.tables[name]
-        if not self._exists(self.path(name)):
-            return self.spark.createDataFrame([], table.schema)
         schema = table.schema.add(MONTH, "string") if table.partition else table.schema
-        return self.spark.read.schema(schema).parquet(self.path(name)).select(*table.schema.names)
-
-    def _stored(self, name: str) -> DataFrame:
+        if not self._exists(self.path(name)):
+            self.recover(name)
+        if not self._exists(self.path(name)):
+            return self.spark.createDataFrame([], schema)
+        rows = self.spark.read.schema(schema).parquet(self.path(name))
+        if table.partition:
+            low, high = months
+            rows = rows.filter(F.col(MONTH) >= low) if low else rows
+            rows = rows.filter(F.col(MONTH) <= high) if high else rows
+        return rows
+
+    def read(self, name: str, start: date | None = None, end: date | None = None) -> DataFrame:
+        """The table, empty if it was never written; ``start`` and ``end`` bound the days of its time column and the months that are read."""
         table = self.tables[name]
-        rows = self.read(name)
-        return rows.withColumn(MONTH, self._month(table)) if table.partition else rows
+        if not table.partition:
+            if start or end:
+                raise ValueError(f"{name} has no time column to bound")
+            return self._rows(name)
+        rows = self._rows(name, (f"{start:%Y-%m}" if start else None, f"{end:%Y-%m}" if end else None))
+        day = F.to_date(table.partition)
+        rows = rows.filter(day >= F.lit(start)) if start else rows
+        rows = rows.filter(day <= F.lit(end)) if end else rows
+        return rows.select(*table.schema.names)
 
     @staticmethod
     def _month(table: Table) -> Column:
@@ -80,26 +105,42 @@ class Catalog:
 
     def _replace(self, name: str, rows: DataFrame, months: Sequence[str] | None) -> None:
         """Writes ``rows`` in place of the whole table, or of the given months, through a staged copy."""
-        table = self.tables[name]
-        staged = f"{self.root}/_staged/{uuid.uuid4().hex}"
+        staged = f"{self.root}/_staged/{name}/{uuid.uuid4().hex}"
         rows.write.parquet(staged)
-        rows = self.spark.read.schema(rows.schema).parquet(staged)
+        self._put(name, staged, months)
+
+    def _put(self, name: str, staged: str, months: Sequence[str] | None) -> None:
+        table = self.tables[name]
+        rows = self.spark.read.parquet(staged)
         if not table.partition:
-            rows.write.mode("overwrite").parquet(self.path(name))
+            rows.select(*table.schema.names).write.mode("overwrite").parquet(self.path(name))
         else:
             out = rows.repartition(MONTH).sortWithinPartitions(*table.key)
             out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(self.path(name))
             present = {r[0] for r in rows.select(MONTH).distinct().collect()} if months is not None else set()
-            fs_path = self.spark._jvm.org.apache.hadoop.fs.Path
             for m in set(months or ()) - present:  # months that lost their last row
-                p = fs_path(f"{self.path(name)}/{MONTH}={m}")
-                p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(staged)
-        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+                self._delete(f"{self.path(name)}/{MONTH}={m}")
+        self._delete(staged)
+
+    def recover(self, name: str) -> int:
+        """Finishes replacements that a lost writer had staged whole, and drops what it had staged in part; returns how many were finished."""
+        fs, top = self._fs(f"{self.root}/_staged/{name}")
+        if not fs.exists(top):
+            return 0
+        left = [(s.getModificationTime(), s.getPath().toString()) for s in fs.listStatus(top)]
+        done = 0
+        for _, staged in sorted(left):
+            if self._exists(f"{staged}/_SUCCESS"):
+                self._put(name, staged, None)
+                done += 1
+            else:
+                self._delete(staged)
+        return done
 
     def upsert(self, name: str, batch: DataFrame, update: Sequence[str] | None = None, order: str | None = "datetime_update") -> None:
         """Merges ``batch`` by the table's key.  An empty batch changes nothing, and a replay changes nothing."""
         table = self.tables[name]
+        self.recover(name)
         batch = batch.select(*(F.col(c).cast(table.schema[c].dataType).alias(c) if c in batch.columns else F.lit(None).cast(table.schema[c].dataType).alias(c) for c in table.schema.names))
         if not table.partition:
             if not batch.isEmpty():
@@ -108,11 +149,11 @@ class Catalog:
         batch = batch.withColumn(MONTH, self._month(table))
         months = [r[0] for r in batch.select(MONTH).distinct().collect()]  # months of one batch
         if months:
-            touched = self._stored(name).filter(F.col(MONTH).isin(months))
+            touched = self._rows(name).filter(F.col(MONTH).isin(months))
             self._replace(name, merged(touched, batch, table.key, update, order), months)
 
     def seed(self, name: str, rows: DataFrame) -> None:
-        """Adds rows whose key is not there yet; others stay as they are."""
+        """Adds rows whose key is not there yet; others stay as they are.  Of rows with one key the one with the greatest values is added."""
         fresh = rows.join(self.read(name), list(self.tables[name].key), "left_anti")
         self.upsert(name, fresh, order=None)
 
@@ -156,9 +197,11 @@ class Catalog:
             if end != "all":
                 hit = hit & (day <= F.lit(end).cast("date"))
             hit = F.coalesce(hit, F.lit(False))
-            rows = self._stored(name)
+            bound = tuple(None if x == "all" else str(x)[:7] for x in (start, end))
+            self.recover(name)
+            rows = self._rows(name, bound)
             out[name] = rows.filter(hit).count()
             if out[name] and not dry_run:
                 months = [r[0] for r in rows.filter(hit).select(MONTH).distinct().collect()]
-                self._replace(name, rows.filter(F.col(MONTH).isin(months) & ~hit), months)
+                self._replace(name, self._rows(name).filter(F.col(MONTH).isin(months) & ~hit), months)
         return out
