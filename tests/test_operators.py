@@ -258,6 +258,44 @@ def test_period_stats(spark):
     assert got["one"]["sharpe"] == 0 and got["flat"]["sharpe"] == 0 and got["up"]["sortino"] is None and got["up"]["calmar"] is None
 
 
+def test_total_loss(spark):
+    """A return of -1 leaves nothing, whatever follows; one below -1 turns the sign."""
+    cases = {"gone": [0.1, -1.0, 0.2], "short": [0.1, -1.5, 0.2], "twice": [0.5, -1.5, -1.5, 0.1], "plain": [0.1, -0.5, 0.2]}
+    df = spark.createDataFrame([(k, i, v) for k, r in cases.items() for i, v in enumerate(r)], "k string, t int, r double")
+    curve = {(r["k"], r["t"]): r["equity"] for r in stats.equity(df, ["k"], "t", "r").collect()}
+    got = {x["k"]: x for x in stats.period_stats(df, ["k"], "t", "r").collect()}
+    for k, r in cases.items():
+        e, peak, worst = 1.0, 1.0, 0.0
+        for i, v in enumerate(r):
+            e *= 1 + v
+            peak = max(peak, e)
+            worst = min(worst, (e - peak) / peak)
+            assert curve[k, i] == pytest.approx(e)
+        assert got[k]["max_drawdown"] == pytest.approx(worst)
+        assert got[k]["annual_return"] is None if e < 0 else got[k]["annual_return"] == pytest.approx(e ** (52 / len(r)) - 1)
+    assert got["gone"]["annual_return"] == -1 and got["gone"]["max_drawdown"] == -1 and got["gone"]["calmar"] == -1 and got["short"]["calmar"] is None
+
+
+def test_passive_book_after_a_total_loss(spark):
+    """A lost position stays lost until the next rebalance, one week in which all is lost leaves the weights, and every symbol has a cost."""
+    w = [DAY + timedelta(days=7 * i) for i in range(8)]
+    moves = {"e": [0.1, -1.0, 0.3, 0.0, 0.2, 0.1, 0.1, 0.1], "b": [0.0, 0.1, 0.1, -1.0, 0.1, 0.1, 0.0, 0.0]}
+    ret = spark.createDataFrame([(s, x, r, r) for s, rs in moves.items() for x, r in zip(w, rs)], "symbol string, week_start date, simple_return double, excess_return double")
+    folds = spark.createDataFrame([(0, "test", x) for x in w], "fold int, role string, week_start date")
+    costs = spark.createDataFrame([("e", 10.0), ("b", 10.0)], "symbol string, bps double")
+    got = backtest.baseline_passive(ret, folds, costs, {"e": 0.6, "b": 0.4}, rebalance=6).orderBy("return_week").collect()
+    now, want = {"e": 0.6, "b": 0.4}, []
+    for i in range(8):
+        now = {"e": 0.6, "b": 0.4} if i == 6 else now
+        want.append(sum(x * moves[s][i] for s, x in now.items()))
+        grown = {s: x * (1 + moves[s][i]) for s, x in now.items()}
+        total = sum(map(abs, grown.values()))
+        now = {s: x / total for s, x in grown.items()} if total else now
+    assert [r["gross"] for r in got] == pytest.approx(want)
+    with pytest.raises(Exception, match="no cost"):
+        backtest.baseline_passive(ret, folds, costs.filter("symbol <> 'b'"), {"e": 0.6, "b": 0.4}).collect()
+
+
 def test_newey_west_at_lag_zero(spark):
     rnd = random.Random(3)
     d = [rnd.gauss(0.1, 1) for _ in range(50)]
@@ -339,3 +377,4 @@ def test_quality_finds_faults(spark):
     r = quality.coverage(gaps).first()
     assert (r["missing_days"], r["max_gap"], r["weekday_coverage"]) == (3, 4, 0.4)
     assert quality.duplicates(gaps.unionByName(gaps), ["symbol", "d"]).count() == 2
+
