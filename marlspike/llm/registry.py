@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marlspike.llm import bpe, exact_dedup, media, mixing, sharding, simhash, suffix_dedup, token_counts, toxicity, warc
 
@@ -25,7 +26,8 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
-    return warc.derivatives(warc.responses(pages)).drop("metadata_record", "conversion_record")
+    out = warc.derivatives(warc.responses(pages))
+    return out.withColumns({c: F.decode(c, "UTF-8") for c in ("metadata_record", "conversion_record")})
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
