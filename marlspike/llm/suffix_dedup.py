@@ -10,7 +10,8 @@ segment, and there are few of them (one for about 170 bytes).
 
 1. Segments are made in one pass over the texts and written out; anchors seen once are dropped.
 2. Segments with the same bytes are one segment with a count; where the count is over one, all
-   their windows are repeated.
+   their windows are repeated.  They are found by hashes and verified: the least and the greatest
+   bytes of a group are compared, and a group whose members differ is split by the bytes.
 3. Where an anchor has segments of differing bytes, one of each is cut from its text and the
    suffixes are sorted: a merge sort whose comparisons find the common extension of two
    suffixes by binary search over prefix polynomial hashes.  All merges of a batch run in step.
@@ -33,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlspike.llm.common import materialise, row_key, utf8_buffer
@@ -143,8 +144,10 @@ def _segment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             )
 
 
-_PIECE = "_k1 long, _k2 long, anchor long, same long, known boolean, at long, count int, back int, crowd boolean, bytes binary"
-_FIELDS = ["anchor", "same", "known", "at", "count", "back", "crowd"]
+_PIECE = "_k1 long, _k2 long, anchor long, same long, split int, known boolean, at long, count int, back int, crowd boolean, bytes binary"
+_FIELDS = ["anchor", "same", "split", "known", "at", "count", "back", "crowd"]
+#: What makes segments one: their hashes, and a number that tells groups of one hash with differing bytes apart.
+_KIND = ["anchor", "same", "split"]
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,13 +172,14 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _finer(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Cuts pieces to windows whose distances from the anchor fall in one range of ``width``, filed under what those windows share."""
     digest = xxhash.xxh3_64_intdigest
-    names = ["_k1", "_k2", "anchor", "same", "known", "at", "count", "back", "bytes"]
+    names = ["_k1", "_k2", "anchor", "same", "split", "known", "at", "count", "back", "bytes"]
+    read = [n for n in names if n != "split"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for x in range(0, batch.num_rows, 1024):
                 out: dict[str, list] = {n: [] for n in names}
-                part = batch.slice(x, 1024).select(names).to_pylist()
+                part = batch.slice(x, 1024).select(read).to_pylist()
                 for r in part:
                     last = r["back"] - r["count"] + 1  # distance of the last window
                     for q in range(last // width, r["back"] // width + 1):
@@ -187,11 +191,12 @@ def _finer(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
                             "_k1": r["_k1"], "_k2": r["_k2"], "anchor": digest(shared, (r["anchor"] * 31 + q) & _M), "same": digest(piece), "known": r["known"],
                             "at": r["at"] + j, "count": n, "back": high, "bytes": piece,
                         }
-                        for k in names:
+                        for k in read:
                             out[k].append(new[k])
                 for k in ("anchor", "same"):
                     out[k] = np.array(out[k], np.uint64).view(np.int64)
-                kinds = [pa.int64()] * 4 + [pa.bool_(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+                out["split"] = [0] * len(out["at"])
+                kinds = [pa.int64()] * 4 + [pa.int32(), pa.bool_(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds)], names)
 
     return run
@@ -344,39 +349,65 @@ def _sort_groups(pieces: DataFrame) -> DataFrame:
     return dealt.mapInArrow(_sorted_spans, "_k1 long, _k2 long, lo long, hi long")
 
 
+def _verified_kinds(members: DataFrame, held: DataFrame) -> DataFrame:
+    """``members`` with groups of one hash but differing bytes told apart; ``held`` has ``_KIND`` and ``bytes`` of every member of a group of several."""
+    bounds = held.groupBy(*_KIND).agg(F.min("bytes").alias("least"), F.max("bytes").alias("most"))
+    mixed = materialise(bounds.filter("least != most").select(*_KIND), "mixed")
+    if mixed.isEmpty():
+        return members
+    each = held.join(mixed, _KIND).select(*_KIND, "_k1", "_k2", "at", "bytes").distinct()
+    rank = F.dense_rank().over(Window.partitionBy(*_KIND).orderBy("bytes"))
+    told = each.select(*_KIND, "_k1", "_k2", "at", rank.alias("_rank"))
+    return members.join(told, [*_KIND, "_k1", "_k2", "at"], "left").withColumn("split", F.coalesce("_rank", "split")).drop("_rank")
+
+
 def _kinds(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Distinct segments by anchor and bytes, and the anchors of several of them with how many.
 
     Both are written out, so that joins on a frequent anchor can be split.
     """
     one = F.min(F.struct("_k1", "_k2", "at", "count", "back")).alias("one")
-    kinds = members.groupBy("anchor", "same").agg(((F.count(F.lit(1)) > 1) | F.max("known")).alias("known"), (F.count(F.lit(1)) > 1).alias("twice"), one)
+    kinds = members.groupBy(*_KIND).agg(((F.count(F.lit(1)) > 1) | F.max("known")).alias("known"), (F.count(F.lit(1)) > 1).alias("twice"), one)
     kinds = materialise(kinds, "kinds")
     return kinds, materialise(kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("width")).filter("width > 1"), "widths")
 
 
+def _several(members: DataFrame) -> DataFrame:
+    """Hashes that several members share."""
+    return members.groupBy(*_KIND).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*_KIND)
+
+
+def _cut_from(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The bytes of segments (``_k1``, ``_k2`` and ``_FIELDS``) from their texts."""
+    by_text = wanted.groupBy("_k1", "_k2").agg(F.collect_list(F.struct(*_FIELDS)).alias("wanted"))
+    return rows.join(by_text, ["_k1", "_k2"]).mapInArrow(_cut, _PIECE)
+
+
 def repeated_spans(rows: DataFrame) -> DataFrame:
     """Spans (``_k1``, ``_k2``, ``lo``, ``hi``) of repeated bytes of the texts of ``rows`` (``_k1``, ``_k2``, ``_text``)."""
     schema = "anchor long, same long, _k1 long, _k2 long, at long, count int, back int"
     every = materialise(rows.mapInArrow(_segment_rows, schema), "segments")
     often = materialise(every.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "often")
-    some = materialise(every.join(often, "anchor", "left_semi").withColumn("known", F.lit(False)), "repeated")
+    some = every.join(often, "anchor", "left_semi").withColumns({"known": F.lit(False), "split": F.lit(0)})
+    some = materialise(some, "repeated")
+    alike = some.join(_several(some), _KIND, "left_semi").withColumn("crowd", F.lit(False))
+    some = _verified_kinds(some, _cut_from(rows, alike))
     kinds, widths = _kinds(some)
-    spans = [_span(some.join(kinds.filter("twice").select("anchor", "same"), ["anchor", "same"], "left_semi"))]
-    sort = kinds.join(widths, "anchor").select("one.*", "anchor", "same", "known", (F.col("width") > CROWD).alias("crowd"))
-    wanted = sort.groupBy("_k1", "_k2").agg(F.collect_list(F.struct(*_FIELDS)).alias("wanted"))
-    pieces = materialise(rows.join(wanted, ["_k1", "_k2"]).mapInArrow(_cut, _PIECE), "pieces")
+    spans = [_span(some.join(kinds.filter("twice").select(*_KIND), _KIND, "left_semi"))]
+    sort = kinds.join(widths, "anchor").select("one.*", *_KIND, "known", (F.col("width") > CROWD).alias("crowd"))
+    pieces = materialise(_cut_from(rows, sort), "pieces")
     spans.append(_sort_groups(pieces.filter("not crowd")))
     for width in FINER:
         crowd = pieces.filter("crowd")
         if crowd.isEmpty():
             break
         fine = materialise(crowd.drop("crowd").mapInArrow(_finer(width), _PIECE.replace(" crowd boolean,", "")), "finer")
+        fine = _verified_kinds(fine, fine.join(_several(fine), _KIND, "left_semi"))
         kinds, widths = _kinds(fine)
-        repeats = kinds.filter("twice").select("anchor", "same")
-        spans.append(_span(fine.filter("not known").join(repeats, ["anchor", "same"], "left_semi")))
-        sort = kinds.join(widths, "anchor").select(*(F.col(f"one.{k}").alias(k) for k in ("_k1", "_k2", "at")), "anchor", "same", F.col("known").alias("_known"), (F.col("width") > CROWD).alias("crowd"))
-        pieces = fine.join(sort, ["anchor", "same", "_k1", "_k2", "at"]).withColumn("known", F.col("_known")).drop("_known")
+        repeats = kinds.filter("twice").select(*_KIND)
+        spans.append(_span(fine.filter("not known").join(repeats, _KIND, "left_semi")))
+        sort = kinds.join(widths, "anchor").select(*(F.col(f"one.{k}").alias(k) for k in ("_k1", "_k2", "at")), *_KIND, F.col("known").alias("_known"), (F.col("width") > CROWD).alias("crowd"))
+        pieces = fine.join(sort, [*_KIND, "_k1", "_k2", "at"]).withColumn("known", F.col("_known")).drop("_known")
         pieces = materialise(pieces, "pieces")
         spans.append(_sort_groups(pieces.filter("not crowd")))
     out = spans[0]

@@ -5,9 +5,11 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from marlspike.llm import bpe, exact_dedup, media, mixing, sharding, simhash, suffix_dedup, token_counts, toxicity
@@ -74,6 +76,24 @@ def test_suffix_dedup(docs, rows, monkeypatch, crowd):
     assert Counter(map(tuple, got)) == want
 
 
+@pytest.mark.parametrize("crowd", [512, 1])
+def test_suffix_dedup_survives_equal_hashes_of_segments(docs, rows, monkeypatch, crowd):
+    """Segments and pieces whose hashes collide all the time are told apart by their bytes."""
+    plain = suffix_dedup._segment_rows
+
+    def weak(batches):
+        for batch in plain(batches):
+            few = pa.array(batch.column("same").to_numpy() & 1)
+            yield batch.set_column(batch.schema.get_field_index("same"), "same", few)
+
+    strong = suffix_dedup.xxhash.xxh3_64_intdigest
+    monkeypatch.setattr(suffix_dedup, "_segment_rows", weak)
+    monkeypatch.setattr(suffix_dedup, "xxhash", SimpleNamespace(xxh3_64_intdigest=lambda data, seed=None: strong(data) & 1 if seed is None else strong(data, seed)))
+    monkeypatch.setattr(suffix_dedup, "CROWD", crowd)
+    got = suffix_dedup.remove_repeats(docs).select("doc_id", "n_removed").collect()
+    assert Counter(map(tuple, got)) == Counter((r[0], int(gone.sum())) for r, gone in zip(rows, removed([raw(r[1]) for r in rows])))
+
+
 def test_suffix_sort_orders_and_classes():
     rnd = random.Random(5)
     text = bytes(rnd.choice(b"ab") for _ in range(900)) * 3 + b"c" * 1500
