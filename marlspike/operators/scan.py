@@ -1,8 +1,8 @@
 """Recursive features as distributed scans.
 
 ``x[t] = b * x[t-1] + g[t]`` is solved in blocks of a key's rows: inside a block by a running
-sum in closed form, across blocks by a fold over one short array a key.  No row loop, and the
-blocks of one key run in parallel.
+sum in closed form, across blocks by a fold over one short array a key.  No row loop; once a
+key's rows are numbered (a window over the key), its blocks run in parallel.
 """
 
 from __future__ import annotations

@@ -518,7 +518,28 @@ def overfit_probability_20(spark, sf_dir):
     return rounded(stats.pbo(_trials(spark, sf_dir), n_blocks=20))
 
 
-@registered()
+def _phi(x: str) -> str:
+    """The normal distribution as a series, for |x| up to about 6."""
+    return f"(0.5 + exp(-{x} * {x} / 2) / sqrt(2 * pi()) * list_sum(list_transform(range(0, 90), lambda j: pow({x}, 2 * j + 1) * sqrt(pi()) / (pow(2e0, j + 1) * gamma(j + 1.5)))))"
+
+
+DEFLATED = f"""
+dt AS (SELECT symbol AS trial, excess_return AS r FROM returns
+       WHERE excess_return IS NOT NULL AND week_start IN (SELECT week_start FROM returns WHERE excess_return IS NOT NULL GROUP BY 1 HAVING count(*) = 5)),
+da AS (SELECT trial, count(*) AS t, avg(r) AS m, stddev_samp(r) AS s FROM dt GROUP BY 1),
+db AS (SELECT trial, any_value(t) AS t, any_value(m / s) AS sr, avg(pow(r - m, 3)) / pow(avg(pow(r - m, 2)), 1.5) AS skew, avg(pow(r - m, 4)) / pow(avg(pow(r - m, 2)), 2) AS kurt
+       FROM dt JOIN da USING (trial) GROUP BY 1),
+dc AS (SELECT *, count(*) OVER () AS n_trials, stddev_samp(sr) OVER () AS sd FROM db),
+dq AS (SELECT 1 - 1e0 / n_trials AS p1, 1 - 1 / (n_trials * exp(1e0)) AS p2 FROM dc LIMIT 1),
+dz AS (SELECT 0 AS k, -8e0 AS a1, 8e0 AS b1, -8e0 AS a2, 8e0 AS b2 UNION ALL
+       SELECT k + 1, CASE WHEN f1 < p1 THEN m1 ELSE a1 END, CASE WHEN f1 < p1 THEN b1 ELSE m1 END, CASE WHEN f2 < p2 THEN m2 ELSE a2 END, CASE WHEN f2 < p2 THEN b2 ELSE m2 END
+       FROM (SELECT *, {_phi('m1')} AS f1, {_phi('m2')} AS f2 FROM (SELECT *, (a1 + b1) / 2 AS m1, (a2 + b2) / 2 AS m2 FROM dz, dq WHERE k < 60))),
+de AS (SELECT n_trials, trial, sr, sd * (0.4227843351e0 * (SELECT max_by(a1, k) FROM dz) + 0.5772156649e0 * (SELECT max_by(a2, k) FROM dz)) AS expected_max, t, skew, kurt
+       FROM dc ORDER BY sr DESC LIMIT 1),
+df AS (SELECT *, (sr - expected_max) / sqrt(greatest(1e-12, 1 - skew * sr + (kurt - 1) / 4 * sr * sr) / (t - 1)) AS z FROM de)"""
+
+
+@registered(query(f"SELECT n_trials, trial, {r('sr')}, {r('expected_max')}, {r(_phi('z'), 'deflated_sharpe')} FROM df", BARS, WEEKS, ACTIONS, SERIES, RETURNS, DEFLATED))
 def deflated_sharpe(spark, sf_dir):
     return rounded(stats.deflated_sharpe(_trials(spark, sf_dir)))
 

@@ -7,15 +7,33 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_made: set[str] = set()
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` where it is set, as on a cluster; else a folder inside the warehouse."""
+    """``spark.checkpoint.dir`` where it is set; else, and in local mode only, a folder inside the warehouse."""
     path = spark.conf.get("spark.checkpoint.dir", None)
-    return path.rstrip("/") if path else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_marlspike"
+    if path:
+        return path.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("on a cluster spark.checkpoint.dir must name a shared folder")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_marlspike"
 
 
 def settle(df: DataFrame, tag: str = "settled") -> DataFrame:
     """``df`` written as Parquet and read back: what is used several times is computed once, and a lost executor costs one stage."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    _made.add(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession) -> int:
+    """Deletes what this driver has settled so far, once results that read it are written; returns how many folders there were."""
+    n = len(_made)
+    while _made:
+        p = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return n
