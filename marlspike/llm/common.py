@@ -1,34 +1,17 @@
-"""Pieces shared by the corpus operators: shared storage and Arrow text batches."""
+"""Pieces shared by the corpus operators: settled intermediates and Arrow text batches."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 1 << 20
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
+from marlspike.sources.shared import settle as materialise  # noqa: F401
 
-    ``spark.checkpoint.dir`` names it on a cluster.  Where that is unset (tests), a folder
-    inside the warehouse is used, which Spark also expects to be shared.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    return path.rstrip("/") if path else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_marlspike"
-
-
-def materialise(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: cuts the lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+CHUNK_BYTES = 1 << 20
 
 
 def row_key(*cols: Column | str) -> list[Column]:
