@@ -64,10 +64,8 @@ class Vocabulary:
         self.bytes_of: dict[int, bytes] = {i: bytes(byte_of[c] for c in s) for s, i in ids.items()}
         self.bytes_of |= {i: s.encode() for s, i in self.added.items()}
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in spec["model"]["merges"]]
-        #: left id * 2**16 + right id -> rank; ids stay below 2**16 - 1
-        if max(self.bytes_of) >= 0xFFFF:
-            raise ValueError("ids beyond 16 bits")
-        self.merges = {ids[a] << 16 | ids[b]: rank for rank, (a, b) in enumerate(pairs)}
+        #: left id * 2**32 + right id -> rank
+        self.merges = {ids[a] << 32 | ids[b]: rank for rank, (a, b) in enumerate(pairs)}
         self.pair_at = [(ids[a], ids[b], ids[a + b]) for a, b in pairs]
         made: dict[int, int] = {}
         for rank, (x, y, z) in enumerate(self.pair_at):
@@ -154,10 +152,10 @@ class Vocabulary:
                     msym[i], msym[j] = made, -2
                     mnxt[i] = k = mnxt[j]
                     mprv[k] = i
-                    if (s := msym[k]) >= 0 and (r := rank_of(made << 16 | s)) is not None:
+                    if (s := msym[k]) >= 0 and (r := rank_of(made << 32 | s)) is not None:
                         note((i,), (r,))
                     h = mprv[i]
-                    if (s := msym[h]) >= 0 and (r := rank_of(s << 16 | made)) is not None:
+                    if (s := msym[h]) >= 0 and (r := rank_of(s << 32 | made)) is not None:
                         note((h,), (r,))
                 continue
             i = np.unique(late) if early is None else early if late is None else np.unique(np.concatenate([early, late]))
