@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-_made: set[str] = set()
+_made: list[str] = []
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -21,19 +25,39 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_marlspike"
 
 
-def settle(df: DataFrame, tag: str = "settled") -> DataFrame:
-    """``df`` written as Parquet and read back: what is used several times is computed once, and a lost executor costs one stage."""
+def settle(df: DataFrame, tag: str = "settled", outlive: bool = False) -> DataFrame:
+    """``df`` written as Parquet and read back: what is used several times is computed once, and a lost executor costs one stage.
+
+    Inside a :func:`scratch` block it goes with the block, unless it is to ``outlive`` it.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    _made.add(path)
+    lists = (_made, *_scopes.get())
+    lists[max(len(lists) - 1 - outlive, 0)].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def discard(spark: SparkSession) -> int:
-    """Deletes what this driver has settled so far, once results that read it are written; returns how many folders there were."""
-    n = len(_made)
-    while _made:
-        p = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+def _delete(spark: SparkSession, paths: list[str]) -> int:
+    n = len(paths)
+    while paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
     return n
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is settled inside the block is deleted at its end: a result must be settled to ``outlive`` it, or be computed in it."""
+    mine: list[str] = []
+    token = _scopes.set((*_scopes.get(), mine))
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+        _delete(spark, mine)
+
+
+def discard(spark: SparkSession) -> int:
+    """Deletes what has been settled so far outside :func:`scratch`, once results that read it are written; returns how many folders there were."""
+    return _delete(spark, _made)
