@@ -12,6 +12,8 @@ from pyspark.sql.window import WindowSpec
 from marlspike.functions.scalars import normal_cdf, normal_quantile
 
 _GAMMA = 0.5772156649
+#: Numbers that :func:`pbo` broadcasts at most.
+MOST_SUMS = 1 << 20
 
 
 def _guarded(mean: Column, spread: Column, ppy: int, same: Column) -> Column:
@@ -97,7 +99,8 @@ def pbo(trials: DataFrame, n_blocks: int = 20, trial: str = "trial", t: str = "t
     """Probability of backtest overfitting by combinatorially symmetric cross-validation.
 
     Returns are summed by trial and block; every choice of half the blocks is a bit mask, and each mask
-    is scored from those sums (at most 31 blocks).  Ties in sample go to the first trial.
+    is scored from those sums (at most 31 blocks).  The sums are the one thing that is broadcast, so there
+    may be ``MOST_SUMS`` of them (16 MB).  Ties in sample go to the first trial.
     """
     if n_blocks < 4 or n_blocks > 31:
         raise ValueError("n_blocks must lie between 4 and 31")
@@ -105,6 +108,8 @@ def pbo(trials: DataFrame, n_blocks: int = 20, trial: str = "trial", t: str = "t
     size = n // n_blocks
     if n_trials < 2 or size < 2:
         raise ValueError("needs two trials and two rows a block")
+    if n_trials * n_blocks > MOST_SUMS:
+        raise ValueError(f"more than {MOST_SUMS} sums of trials and blocks")
     i = F.row_number().over(Window.partitionBy(trial).orderBy(t)) - 1
     block = F.least(F.floor(i / size), F.lit(n_blocks - 1))
     sums = trials.select(F.col(trial).alias("_trial"), F.col(r).alias("_r"), block.alias("_b")).groupBy("_trial", "_b").agg(F.sum("_r").alias("s"), F.count(F.lit(1)).alias("n"))

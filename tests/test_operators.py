@@ -307,7 +307,7 @@ def test_newey_west_at_lag_zero(spark):
     assert stats.hac_tstat(df, ["k"], "t", "a", "b", 5).first()["t_stat"] == pytest.approx(m / math.sqrt(v / 50))
 
 
-def test_pbo_against_enumeration(spark):
+def test_pbo_against_enumeration(spark, monkeypatch):
     from itertools import combinations
 
     rnd = random.Random(4)
@@ -326,6 +326,9 @@ def test_pbo_against_enumeration(spark):
     assert row["n_paths"] == paths == 20 and row["pbo"] == pytest.approx(over / paths)
     with pytest.raises(ValueError):
         stats.pbo(df, 20)
+    monkeypatch.setattr(stats, "MOST_SUMS", 23)
+    with pytest.raises(ValueError, match="sums"):
+        stats.pbo(df, 6)
 
 
 def test_deflated_sharpe_and_haircut(spark):
