@@ -479,7 +479,7 @@ hv AS (SELECT sum(CASE WHEN lag = 0 THEN g ELSE 2 * (1 - lag / 53e0) * g END) AS
     )
 )
 def newey_west(spark, sf_dir):
-    rows = _returns(spark, sf_dir).filter("excess_return is not null")
+    rows = _books_input(spark, sf_dir).filter("excess_return is not null")
     a = rows.filter("symbol = '2-HIGH'").select("week_start", F.col("excess_return").alias("a"))
     b = rows.filter("symbol = '3-MEDIUM'").select("week_start", F.col("excess_return").alias("b"))
     return rounded(stats.hac_tstat(a.join(b, "week_start").withColumn("_all", F.lit(1)), ["_all"], "week_start", "a", "b").drop("_all"))
