@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from marlspike.llm.common import chunked, texts
 
 #: Words remembered by a worker, and the longest word worth remembering.
-REMEMBERED, LONGEST = 250_000, 64
+REMEMBERED, LONGEST = 100_000, 64
 #: Bytes of text merged together, and positions of a rank from which they are merged as vectors.
 BATCH_BYTES, VECTOR = 2 << 20, 12
 

@@ -6,12 +6,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marlspike.sources.shared import scratch  # noqa: F401
 from marlspike.sources.shared import settle as materialise  # noqa: F401
 
 CHUNK_BYTES = 1 << 20
+#: Bits of the bitmap of :func:`maybe_in`.
+MARKS = 1 << 24
 
 
 def row_key(*cols: Column | str) -> list[Column]:
@@ -23,6 +26,19 @@ def row_key(*cols: Column | str) -> list[Column]:
     ]
 
 
+def maybe_in(rows: DataFrame, keys: DataFrame, *names: str) -> DataFrame:
+    """``rows`` whose ``names`` may be among those of ``keys``: none of these is lost, and most others go before they are moved.
+
+    A bitmap of ``MARKS`` bits is set at a hash of each key; it is two megabytes, whatever the number of keys.
+    """
+    place = (F.pmod(F.xxhash64(*names), F.lit(MARKS)) + 1).alias("_place")
+    bucket, bit = F.bitmap_bucket_number("_place"), F.bitmap_bit_position("_place")
+    marks = keys.select(place).groupBy(bucket.alias("_bucket")).agg(F.bitmap_construct_agg(bit).alias("_bits"))
+    tested = rows.withColumn("_place", place).withColumns({"_bucket": bucket, "_bit": bit}).join(F.broadcast(marks), "_bucket")
+    byte = F.conv(F.hex(F.expr("substring(_bits, cast(_bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    return tested.filter(F.getbit(byte, F.expr("cast(_bit % 8 as int)")) == 1).select(*rows.columns)
+
+
 def utf8_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All texts of an Arrow string column as one byte array with offsets; a null is an empty text."""
     column = column.cast(pa.large_binary()) if not pa.types.is_large_binary(column.type) else column

@@ -26,12 +26,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from marlspike.llm.common import chunked, materialise, texts
+from marlspike.llm.common import chunked, materialise, maybe_in, texts
 
 BUCKETS, SAMPLE = 1 << 20, 3000
+#: Characters that are hashed together: of one long text, and of several short ones.
+PIECE, SLICE = 1 << 20, 1 << 20
 #: Standard errors by which a bucket's shares must differ (the best ``FEW`` stay in any case).
 LEAST_Z, FEW = 5.0, 64
 SIZES = (3, 4, 5, 6)
@@ -40,23 +44,38 @@ FOLDS = 5
 _MULT = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1, 0xB5297A4D], np.uint32)
 
 
-def grams(rows: list[str]) -> list[np.ndarray]:
-    """Bucket numbers of all n-grams of each text (with repeats)."""
-    low = [_blank.sub(" ", f" {t.lower()} ") for t in rows]
-    edge = np.concatenate([[0], np.cumsum([len(t) for t in low])])
-    c = np.frombuffer("".join(low).encode("utf-32-le", "surrogatepass"), np.uint32)
+def _hashed(c: np.ndarray) -> list[np.ndarray]:
+    """Bucket numbers of the n-grams of an array of characters, an array for each size."""
     shift = np.uint32(32 - BUCKETS.bit_length() + 1)
-    hashed = []
+    out = []
     for n in SIZES:
         if len(c) < n:
-            hashed.append(np.zeros(0, np.uint32))
+            out.append(np.zeros(0, np.uint32))
             continue
         h = np.full(len(c) - n + 1, n * 0x51ED270B & 0xFFFFFFFF, np.uint32)
         for k in range(n):
             h = (h ^ c[k : len(c) - n + 1 + k]) * _MULT[k]
             h ^= h >> np.uint32(15)
-        hashed.append(h >> shift)
-    return [np.concatenate([h[a : max(a, b - n + 1)] for n, h in zip(SIZES, hashed)]) for a, b in zip(edge[:-1], edge[1:])]
+        out.append(h >> shift)
+    return out
+
+
+def grams(rows: list[str]) -> list[np.ndarray]:
+    """Bucket numbers of all n-grams of each text: with repeats, but of texts beyond ``PIECE`` characters, which are read in pieces, once each."""
+    low = [_blank.sub(" ", f" {t.lower()} ") for t in rows]
+    short = [t if len(t) <= PIECE else "" for t in low]
+    edge = np.concatenate([[0], np.cumsum([len(t) for t in short])])
+    hashed = _hashed(np.frombuffer("".join(short).encode("utf-32-le", "surrogatepass"), np.uint32))
+    out = [np.concatenate([h[a : max(a, b - n + 1)] for n, h in zip(SIZES, hashed)]) for a, b in zip(edge[:-1], edge[1:])]
+    for i, t in enumerate(low):
+        if len(t) > PIECE:
+            seen = np.zeros(BUCKETS, bool)
+            for a in range(0, len(t), PIECE):
+                c = np.frombuffer(t[a : a + PIECE + SIZES[-1] - 1].encode("utf-32-le", "surrogatepass"), np.uint32)
+                for h in _hashed(c):
+                    seen[h] = True
+            out[i] = np.flatnonzero(seen).astype(np.uint32)
+    return out
 
 
 @dataclass(frozen=True)
@@ -145,21 +164,24 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(packed, pa.binary())], ["_id", "_packed"])
 
 
-def _slices(rows: list, n: int = 100) -> Iterator[list]:
-    for a in range(0, len(rows), n):
-        yield rows[a : a + n]
-
-
-def _unpacked(batch: pa.RecordBatch) -> Iterator[list[str]]:
-    """Texts of a packed batch, a hundred at a time."""
-    for part in _slices(batch.column("_packed").to_pylist()):
-        yield [zlib.decompress(p).decode() for p in part]
+def _unpacked(batch: pa.RecordBatch) -> Iterator[tuple[list[str], list[int]]]:
+    """Texts of a packed batch with their labels, about ``SLICE`` characters at a time."""
+    held, marks, size = [], [], 0
+    for p, y in zip(batch.column("_packed"), batch.column("_y").to_pylist()):
+        held.append(zlib.decompress(p.as_py()).decode())
+        marks.append(y)
+        size += len(held[-1])
+        if size >= SLICE:
+            yield held, marks
+            held, marks, size = [], [], 0
+    if held:
+        yield held, marks
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros((2, BUCKETS), np.int64)
     for batch in batches:
-        for part, y in zip(_unpacked(batch), _slices(batch.column("_y").to_pylist())):
+        for part, y in _unpacked(batch):
             for g, label in zip(grams(part), y):
                 counts[label, np.unique(g)] += 1
     hit = np.flatnonzero(counts.sum(axis=0))
@@ -174,7 +196,7 @@ def _sampler(best: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
         slot[best] = np.arange(len(best))
         model = Model(slot, np.zeros(len(best)), 0.0)
         for batch in batches:
-            for part, y in zip(_unpacked(batch), _slices(batch.column("_y").to_pylist())):
+            for part, y in _unpacked(batch):
                 found = [f.astype(np.int32) for f in model.features(part)]
                 yield pa.RecordBatch.from_arrays([pa.array(y, pa.int32()), pa.array(found, pa.list_(pa.int32()))], ["_y", "features"])
 
@@ -189,9 +211,10 @@ def fold(id_col: str) -> Column:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """A model of the labelled rows of ``docs`` outside the held-out fold."""
     marked = labels.filter(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col(label_col).cast("int")).alias("_y"))
-    # Texts travel packed: the join moves every text once, and what it keeps is written for the two passes to come.
+    # Texts travel packed: the join moves every text that may have a label once, and what it keeps is written for the two passes to come.
     text = docs.filter(fold(id_col) != 0).select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     kind = docs.schema[id_col].dataType.simpleString()
+    text = maybe_in(text, marked.select(F.col("_id").cast(kind)), "_id")
     packed = text.mapInArrow(_pack, f"_id {kind}, _packed binary")
     # The labels grow with the corpus, so they are never broadcast.
     rows = packed.join(marked.hint("merge"), "_id").select("_id", "_packed", F.when(F.col("_y") > 0, 1).otherwise(0).alias("_y"))
@@ -223,12 +246,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return Model(slot, weights, float(bias))
 
 
-def _scorer(best: np.ndarray, weights: np.ndarray, bias: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _scorer(best: np.ndarray, weights: np.ndarray, bias: float, inside: str | None = None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slot = np.full(BUCKETS, -1, np.int32)
         slot[best] = np.arange(len(best))
         model = Model(slot, weights, bias)
         for whole in batches:
+            if inside is not None:
+                whole = whole.append_column("_text", pc.struct_field(whole.column("_row"), [inside]))
             for batch in chunked(whole, "_text"):
                 keep = [k for k in batch.schema.names if k != "_text"]
                 z = pa.array(model.scores(texts(batch.column("_text"))), pa.float64())
@@ -252,6 +277,8 @@ def drop_toxic(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     best = np.flatnonzero(model.slot >= 0)
     row = F.struct(*(F.col(f"`{c}`") for c in df.columns))
     kind = df.select(row.alias("r")).schema["r"].dataType.simpleString()
-    src = df.select(row.alias("_row"), F.col(text_col).cast("string").alias("_text"))
-    out = src.mapInArrow(_scorer(best, model.weights, model.bias), f"_row {kind}, score double")
+    # A text that is a string already travels once, inside its row.
+    inside = text_col if df.schema[text_col].dataType == StringType() else None
+    src = df.select(row.alias("_row"), *([] if inside else [F.col(text_col).cast("string").alias("_text")]))
+    out = src.mapInArrow(_scorer(best, model.weights, model.bias, inside), f"_row {kind}, score double")
     return out.filter("score < 0.5").select("_row.*")
