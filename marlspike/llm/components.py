@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlspike.llm.common import materialise
+from marlspike.llm.common import materialise, scratch
 
 ROUNDS = 60
 
@@ -37,15 +37,16 @@ def components(links: DataFrame) -> DataFrame:
     Links may repeat and point either way; self links and links with a null end are dropped.
     """
     ordered = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), (F.col("a") != F.col("b")).alias("ok"))
-    now = materialise(ordered.filter("ok").select("a", "b").distinct(), "links")
-    mark = _mark(now)
-    for _ in range(ROUNDS):
-        if not mark[0]:
-            break
-        now = materialise(_small_star(_large_star(now)), "links")
-        before, mark = mark, _mark(now)
-        if mark == before:
-            break
-    else:
-        raise RuntimeError("the components have not settled")
-    return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    with scratch(links.sparkSession):
+        now = materialise(ordered.filter("ok").select("a", "b").distinct(), "links")
+        mark = _mark(now)
+        for _ in range(ROUNDS):
+            if not mark[0]:
+                break
+            now = materialise(_small_star(_large_star(now)), "links")
+            before, mark = mark, _mark(now)
+            if mark == before:
+                break
+        else:
+            raise RuntimeError("the components have not settled")
+        return materialise(now.select(F.col("a").alias("node"), F.col("b").alias("root")), "roots", outlive=True)
