@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlspike.llm import bpe, exact_dedup, media, mixing, sharding, simhash, suffix_dedup, token_counts, toxicity, warc
+from marlspike.llm import bpe, exact_dedup, media, mixing, passages, sharding, simhash, suffix_dedup, token_counts, toxicity, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,8 +16,8 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = suffix_dedup.remove_repeats(_documents(spark, sf_dir))
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    out = suffix_dedup.remove_repeats(_documents(spark, sf_dir), report=passages.shared_passages)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passage_words")
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,8 +10,8 @@ segment, and there are few of them (one for about 170 bytes).
 
 1. Segments are made in one pass over the texts and written out; anchors seen once are dropped.
 2. Segments with the same bytes are one segment with a count; where the count is over one, all
-   their windows are repeated.  They are found by hashes and verified: the least and the greatest
-   bytes of a group are compared, and a group whose members differ is split by the bytes.
+   their windows are repeated.  They are found by hashes and verified: the bytes of a group are
+   compared, and a group whose members differ is split by them.
 3. Where an anchor has segments of differing bytes, one of each is cut from its text and the
    suffixes are sorted: a merge sort whose comparisons find the common extension of two
    suffixes by binary search over prefix polynomial hashes.  All merges of a batch run in step.
@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlspike.llm.common import materialise, row_key, utf8_buffer
+from marlspike.llm.common import materialise, maybe_in, row_key, scratch, utf8_buffer
 
 LENGTH, GRAM = 400, 64
 #: Bytes hashed together, segments of one anchor that are sorted together, and windows of a piece at each finer cut.
@@ -86,15 +86,15 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (width - reach)], x[width - reach :])
 
 
-def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+def segments(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
     """Segments of a block of whole texts: text, first window, windows, distance of the anchor from it, anchor hash."""
     none = np.zeros(0, np.int64)
-    if len(data) < LENGTH:
+    if len(data) < length:
         return none, none, none, none, none
-    grams = _mixed(Hashes(data).of(np.arange(len(data) - GRAM + 1), GRAM))
+    grams = _mixed(Hashes(data).of(np.arange(len(data) - gram + 1), gram))
     low = np.uint64((1 << (BLOCK + LENGTH).bit_length()) - 1)  # the bits that hold a place in any block
-    least = _sliding_min(grams & ~low | np.arange(len(grams), dtype=np.uint64), LENGTH - GRAM + 1)
-    sizes = np.maximum(np.diff(offsets) - LENGTH + 1, 0)  # windows of each text
+    least = _sliding_min(grams & ~low | np.arange(len(grams), dtype=np.uint64), length - gram + 1)
+    sizes = np.maximum(np.diff(offsets) - length + 1, 0)  # windows of each text
     at = np.arange(int(sizes.sum())) + np.repeat(offsets[:-1] - (np.cumsum(sizes) - sizes), sizes)
     if not len(at):
         return none, none, none, none, none
@@ -105,7 +105,7 @@ def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return np.repeat(np.arange(len(sizes)), sizes)[first], start, count, anchor[first] - start, grams[anchor[first]].view(np.int64)
 
 
-def blocks(offsets: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+def blocks(offsets: np.ndarray, length: int = LENGTH) -> Iterator[tuple[int, int, int, int]]:
     """Rows and bytes to hash together: whole texts up to ``BLOCK`` bytes, or a piece of a long one.
 
     Pieces of one text overlap so that each window lies in exactly one piece.
@@ -114,8 +114,8 @@ def blocks(offsets: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
     while row < n:
         if offsets[row + 1] - offsets[row] > BLOCK:
             a, end = int(offsets[row]), int(offsets[row + 1])
-            while a + LENGTH <= end:
-                yield row, row + 1, a, min(a + BLOCK + LENGTH - 1, end)
+            while a + length <= end:
+                yield row, row + 1, a, min(a + BLOCK + length - 1, end)
                 a += BLOCK
             row += 1
             continue
@@ -351,8 +351,8 @@ def _sort_groups(pieces: DataFrame) -> DataFrame:
 
 def _verified_kinds(members: DataFrame, held: DataFrame) -> DataFrame:
     """``members`` with groups of one hash but differing bytes told apart; ``held`` has ``_KIND`` and ``bytes`` of every member of a group of several."""
-    bounds = held.groupBy(*_KIND).agg(F.min("bytes").alias("least"), F.max("bytes").alias("most"))
-    mixed = materialise(bounds.filter("least != most").select(*_KIND), "mixed")
+    several = held.groupBy(*_KIND, "bytes").count().groupBy(*_KIND).agg(F.count(F.lit(1)).alias("n"))
+    mixed = materialise(several.filter("n > 1").select(*_KIND), "mixed")
     if mixed.isEmpty():
         return members
     each = held.join(mixed, _KIND).select(*_KIND, "_k1", "_k2", "at", "bytes").distinct()
@@ -380,22 +380,27 @@ def _several(members: DataFrame) -> DataFrame:
 def _cut_from(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """The bytes of segments (``_k1``, ``_k2`` and ``_FIELDS``) from their texts."""
     by_text = wanted.groupBy("_k1", "_k2").agg(F.collect_list(F.struct(*_FIELDS)).alias("wanted"))
-    return rows.join(by_text, ["_k1", "_k2"]).mapInArrow(_cut, _PIECE)
+    return maybe_in(rows, wanted, "_k1", "_k2").join(by_text, ["_k1", "_k2"]).mapInArrow(_cut, _PIECE)
 
 
 def repeated_spans(rows: DataFrame) -> DataFrame:
     """Spans (``_k1``, ``_k2``, ``lo``, ``hi``) of repeated bytes of the texts of ``rows`` (``_k1``, ``_k2``, ``_text``)."""
+    with scratch(rows.sparkSession):
+        return materialise(_all_spans(rows).distinct(), "spans", outlive=True)
+
+
+def _all_spans(rows: DataFrame) -> DataFrame:
     schema = "anchor long, same long, _k1 long, _k2 long, at long, count int, back int"
     every = materialise(rows.mapInArrow(_segment_rows, schema), "segments")
     often = materialise(every.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "often")
     some = every.join(often, "anchor", "left_semi").withColumns({"known": F.lit(False), "split": F.lit(0)})
     some = materialise(some, "repeated")
-    alike = some.join(_several(some), _KIND, "left_semi").withColumn("crowd", F.lit(False))
+    alike = materialise(some.join(_several(some), _KIND, "left_semi").withColumn("crowd", F.lit(False)), "alike")
     some = _verified_kinds(some, _cut_from(rows, alike))
     kinds, widths = _kinds(some)
     spans = [_span(some.join(kinds.filter("twice").select(*_KIND), _KIND, "left_semi"))]
     sort = kinds.join(widths, "anchor").select("one.*", *_KIND, "known", (F.col("width") > CROWD).alias("crowd"))
-    pieces = materialise(_cut_from(rows, sort), "pieces")
+    pieces = materialise(_cut_from(rows, materialise(sort, "sort")), "pieces")
     spans.append(_sort_groups(pieces.filter("not crowd")))
     for width in FINER:
         crowd = pieces.filter("crowd")
@@ -416,19 +421,27 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     return out
 
 
+def _runs(spans: list[dict[str, int]] | None) -> list[list[int]]:
+    """Spans in order, those that touch or overlap as one."""
+    runs: list[list[int]] = []
+    for s in sorted((x["lo"], x["hi"]) for x in spans or ()):
+        if runs and s[0] <= runs[-1][1]:
+            runs[-1][1] = max(runs[-1][1], s[1])
+        else:
+            runs.append([*s])
+    return runs
+
+
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = utf8_buffer(batch.column("_text"))
         raw, o = data.tobytes(), offsets.tolist()
-        out: dict[str, list] = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept")}
+        out: dict[str, list] = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept", "n_passage_words")}
+        passages = batch.column("passages").to_pylist()
         for i, found in enumerate(batch.column("spans").to_pylist()):
             text = raw[o[i] : o[i + 1]]
-            runs: list[list[int]] = []
-            for s in sorted((x["lo"], x["hi"]) for x in found or ()):
-                if runs and s[0] <= runs[-1][1]:
-                    runs[-1][1] = max(runs[-1][1], s[1])
-                else:
-                    runs.append([*s])
+            runs = _runs(found)
+            out["n_passage_words"].append(sum(b - a for a, b in _runs(passages[i])))
             edges = [0, *(x for r in runs for x in r), len(text)]
             kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
             out["n_bytes"].append(len(text))
@@ -437,16 +450,30 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
             out["spans"].append([{"lo": a, "hi": b} for a, b in runs])
             out["kept"].append(kept)
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())])), pa.binary()]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())])), pa.binary(), pa.int64()]
         yield pa.RecordBatch.from_arrays([batch.column("_id"), *(pa.array(v, t) for v, t in zip(out.values(), kinds))], ["_id", *out])
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row's ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``, removed ``spans`` and ``kept`` bytes."""
+def _listed(spans: DataFrame, name: str) -> DataFrame:
+    return spans.groupBy("_k1", "_k2").agg(F.collect_list(F.struct("lo", "hi")).alias(name))
+
+
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", report: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Every row's ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``, removed ``spans`` and ``kept`` bytes.
+
+    What goes is a matter of bytes, so a passage of many short words may stay though it repeats.  A ``report``
+    finds word spans of the same texts (:func:`marlspike.llm.passages.shared_passages`); then
+    ``n_passage_words`` tells how many words of a row lie in them.
+    """
     kind = df.schema[id_col].dataType.simpleString()
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = df.select(F.col(id_col).alias("_id"), *row_key(id_col, text), text.alias("_text"))
-    spans = repeated_spans(rows.select("_k1", "_k2", "_text"))
-    by_row = spans.distinct().groupBy("_k1", "_k2").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
-    schema = f"_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<lo:long,hi:long>>, kept binary"
-    return rows.join(by_row, ["_k1", "_k2"], "left").mapInArrow(_remove, schema).withColumnRenamed("_id", id_col)
+    keyed = rows.select("_k1", "_k2", "_text")
+    out = rows.join(_listed(repeated_spans(keyed), "spans"), ["_k1", "_k2"], "left")
+    if report is None:
+        out = out.withColumn("passages", F.lit(None).cast("array<struct<lo:long,hi:long>>"))
+    else:
+        out = out.join(_listed(report(keyed), "passages"), ["_k1", "_k2"], "left")
+    schema = f"_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<lo:long,hi:long>>, kept binary, n_passage_words long"
+    out = out.mapInArrow(_remove, schema).withColumnRenamed("_id", id_col)
+    return out if report else out.drop("n_passage_words")

@@ -12,7 +12,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 
-from marlspike.llm import bpe, exact_dedup, media, mixing, sharding, simhash, suffix_dedup, token_counts, toxicity
+from marlspike.llm import bpe, exact_dedup, media, mixing, passages, sharding, simhash, suffix_dedup, token_counts, toxicity
 from marlspike.llm.components import components
 
 SCHEMA = "doc_id long, text string, source string, size long, fp long, _k1 long, kept string"
@@ -94,6 +94,40 @@ def test_suffix_dedup_survives_equal_hashes_of_segments(docs, rows, monkeypatch,
     assert Counter(map(tuple, got)) == Counter((r[0], int(gone.sum())) for r, gone in zip(rows, removed([raw(r[1]) for r in rows])))
 
 
+def _passage_words(rows, n=51):
+    """Words of each row in windows of ``n`` words that a row of another id or text has as well."""
+    split = [re.sub("[A-Z]", lambda m: m[0].lower(), t or "") for _, t, *_ in rows]
+    split = [[w.encode() for w in WORD.findall(t)] for t in split]
+    seen = defaultdict(set)
+    for (i, t, *_), words in zip(rows, split):
+        for k in range(len(words) - n + 1):
+            seen[hash(tuple(words[k : k + n]))].add((i, t))
+    out = []
+    for words in split:
+        hit = np.zeros(len(words), bool)
+        for k in range(len(words) - n + 1):
+            hit[k : k + n] |= len(seen[hash(tuple(words[k : k + n]))]) > 1
+        out.append(int(hit.sum()))
+    return out
+
+
+def test_shared_passages(spark, rows, docs, monkeypatch):
+    got = suffix_dedup.remove_repeats(docs, report=passages.shared_passages).select("doc_id", "n_passage_words").collect()
+    assert Counter(map(tuple, got)) == Counter(zip([r[0] for r in rows], _passage_words(rows)))
+    monkeypatch.setattr(suffix_dedup, "BLOCK", 200)  # texts span blocks
+    rng, words = random.Random(8), [f"w{k}" for k in range(400)]
+    common, line = rng.choices(words, k=70), rng.choices(words, k=40)
+    made = []
+    for i in range(60):
+        parts = [rng.choices(words, k=rng.randrange(120)), line, rng.choices(words, k=rng.randrange(9))]
+        cut = rng.randrange(30)
+        parts += [common[cut : cut + rng.randrange(45, 60)]] if i % 3 else [common] * (i % 2 + 1)
+        parts += [rng.choices(words, k=rng.randrange(60))]
+        made.append((i, " ".join(w for p in parts for w in p), None, 0, 0, 0, ""))
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(made, SCHEMA).repartition(3), report=passages.shared_passages).select("doc_id", "n_passage_words").collect()
+    assert Counter(map(tuple, got)) == Counter(zip(range(60), _passage_words(made))) and max(r["n_passage_words"] for r in got) > 60
+
+
 def test_suffix_sort_orders_and_classes():
     rnd = random.Random(5)
     text = bytes(rnd.choice(b"ab") for _ in range(900)) * 3 + b"c" * 1500
