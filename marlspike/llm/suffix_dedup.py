@@ -373,8 +373,8 @@ def _kinds(members: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _several(members: DataFrame) -> DataFrame:
-    """Hashes that several members share."""
-    return members.groupBy(*_KIND).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*_KIND)
+    """Hashes that several members share, written out so that a join on a frequent one can be split."""
+    return materialise(members.groupBy(*_KIND).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*_KIND), "several")
 
 
 def _cut_from(rows: DataFrame, wanted: DataFrame) -> DataFrame:
