@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlspike.llm import bpe, exact_dedup, media, mixing, passages, sharding, simhash, suffix_dedup, token_counts, toxicity, warc
+from marlspike.llm import bpe, exact_dedup, filter_audit, media, mixing, passages, sharding, simhash, suffix_dedup, token_counts, toxicity, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,11 +60,15 @@ def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_columns(_documents(spark, sf_dir))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_suffix_dedup, op2_sharding, op3_warc, op4_mixing, op5_bpe, op6_exact_dedup, op7_toxicity, op8_token_counts, op9_simhash,
-        op10_media_columns,
+        op10_media_columns, op12_filter_audit,
     )
 }
 
@@ -79,4 +83,33 @@ ORACLE_SQL: dict[str, str] = {
                doc_id = first_value(doc_id) OVER w AS kept, h AS text_sha256
         FROM d WINDOW w AS (PARTITION BY h ORDER BY n DESC, doc_id)
     """,
+    "op12_filter_audit": r"""
+        WITH RECURSIVE p AS (
+            SELECT '' AS o UNION ALL SELECT o || l FROM p, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) v(l) WHERE instr(o, l) = 0
+        ),
+        steps AS (SELECT o AS filter_order, CAST(k AS INTEGER) AS step, o[k:k] AS letter, o[1:k - 1] AS earlier FROM p, range(1, 6) r(k) WHERE length(o) = 5),
+        t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS x FROM documents),
+        w AS (SELECT *, regexp_extract_all(x, '[^\x20\x09-\x0D]+') AS words, doc_id > min(doc_id) OVER (PARTITION BY x) AS again FROM t),
+        f AS (
+            SELECT doc_id, part, CASE WHEN len(words) < 50 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 'B' ELSE '' END
+                || CASE WHEN 100 * length(regexp_replace(x, '[^A-Z]', '', 'g')) > 5 * length(x) THEN 'C' ELSE '' END
+                || CASE WHEN regexp_matches(x, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN again THEN 'E' ELSE '' END AS fails
+            FROM w
+        ),
+        m AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+        c AS (
+            SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f LEFT JOIN m USING (doc_id) GROUP BY ALL
+        ),
+        x AS (SELECT *, instr(fails, letter) > 0 AS hit, length(translate(fails, earlier, '')) < length(fails) AS gone FROM c, steps),
+        y AS (
+            SELECT part, filter_order, step, letter, coalesce(sum(n) FILTER (NOT hit AND NOT gone), 0) AS kept, coalesce(sum(n) FILTER (hit AND NOT gone), 0) AS removed,
+                   coalesce(sum(n) FILTER (hit AND gone), 0) AS redundant, coalesce(sum(n) FILTER (fails = letter), 0) AS unique_fails,
+                   coalesce(sum(good) FILTER (hit AND NOT gone), 0) AS good_lost, coalesce(sum(toxic) FILTER (hit AND NOT gone), 0) AS toxic_lost
+            FROM x GROUP BY ALL
+        )
+        SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+               CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+               CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+        FROM y
+    """,
 }
