@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlspike.llm import alignment, bpe, exact_dedup, filter_audit, media, mixing, passages, sharding, simhash, suffix_dedup, token_counts, toxicity, warc
+from marlspike.llm import alignment, bpe, exact_dedup, filter_audit, language_id, media, mixing, passages, sharding, simhash, suffix_dedup, token_counts, toxicity, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,11 +69,16 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return language_id.identify(docs, language_id.train(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_suffix_dedup, op2_sharding, op3_warc, op4_mixing, op5_bpe, op6_exact_dedup, op7_toxicity, op8_token_counts, op9_simhash,
-        op10_media_columns, op11_alignment, op12_filter_audit,
+        op10_media_columns, op11_alignment, op12_filter_audit, op13_language_id,
     )
 }
 
