@@ -221,7 +221,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     ranked = few.withColumn("_n", F.row_number().over(Window.partitionBy("_lang").orderBy("_h"))).filter(F.col("_n") <= SAMPLE)
     sample = materialise(ranked.select("_lang", "_pieces"), "windows")
     # The fit is one task of an executor: only the weights come to the driver.
-    fitted = sample.groupBy(F.lit(1).alias("all")).applyInArrow(_fitter(languages), "name string, shape array<int>, value array<double>").collect()
+    fitted = sample.groupBy(F.lit(1).alias("all")).applyInArrow(_fitter(languages), "name string, shape array<long>, value array<double>").collect()
     return Model(languages, {r["name"]: np.array(r["value"], np.float32).reshape(r["shape"]) for r in fitted})
 
 
