@@ -254,7 +254,7 @@ def pair_counts(rows: DataFrame, b_size: int) -> DataFrame:
 def _least_hot(counts: DataFrame) -> int:
     """The least power of two such that ``HOT`` pairs at most have as many documents."""
     by_size = sorted(counts.groupBy(F.expr("length(bin(n_docs))").alias("bits")).count().collect(), reverse=True)  # 64 rows at most
-    so_far, bits = 0, 64
+    so_far, bits = 0, 63
     for r in by_size:
         so_far += r["count"]
         if so_far > HOT:
