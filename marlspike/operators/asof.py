@@ -1,7 +1,8 @@
 """Point-in-time joins.
 
 :func:`asof` sweeps both sides once, in time order within a key: the sides are tagged and
-unioned, and each left row takes the last right row before it.  There is no range join.
+unioned, and each left row takes the last right row before it, found in the month's rows or carried
+into the month (:mod:`marlspike.operators.blocks`).  There is no range join and no window over a whole key.
 :func:`vintage_asof` files validity intervals under the months they span, so the join is on
 equality.
 """
@@ -13,6 +14,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marlspike.operators.blocks import last_known
+
 
 def _sweep(left: DataFrame, rights: Mapping[str, tuple[DataFrame, Sequence[str]]], by: Sequence[str], t: str, strict: bool) -> DataFrame:
     """``left`` with a struct column for each right side; every right side has ``by``, ``_t`` and its value columns."""
@@ -24,9 +27,11 @@ def _sweep(left: DataFrame, rights: Mapping[str, tuple[DataFrame, Sequence[str]]
     every = sides[0]
     for side in sides[1:]:
         every = every.unionByName(side, allowMissingColumns=True)
-    until_now = Window.partitionBy(*by).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = [F.last(name, ignorenulls=True).over(until_now).alias(name) for name in rights]
-    return every.select("_left", *found).filter("_left is not null")
+    if not by:  # calendar series, one row a date: one window over dates, never over fact rows
+        until_now = Window.orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return every.select("_left", *(F.last(name, ignorenulls=True).over(until_now).alias(name) for name in rights)).filter("_left is not null")
+    found = last_known(every, by, ["_t", "_side"], {f"_at_{name}": F.col(name) for name in rights}, inclusive=True)
+    return found.filter("_left is not null").select("_left", *(F.col(f"_at_{name}").alias(name) for name in rights))
 
 
 def asof_many(

@@ -1,8 +1,7 @@
 """Recursive features as distributed scans.
 
-``x[t] = b * x[t-1] + g[t]`` is solved in blocks of a key's rows: inside a block by a running
-sum in closed form, across blocks by a fold over one short array a key.  No row loop; once a
-key's rows are numbered (a window over the key), its blocks run in parallel.
+``x[t] = b * x[t-1] + g[t]`` is solved in blocks of a key's rows (:mod:`marlspike.operators.blocks`): inside a block by a running
+sum in closed form, across blocks by a fold over one short array a key.  No row loop and no window over a whole key.
 """
 
 from __future__ import annotations
@@ -13,39 +12,48 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marlspike.operators.blocks import BLOCK, _headed, _within, fold, last_known, with_block
 
-def affine_scan(
-    df: DataFrame, key: Sequence[str], order: str, beta: float, inputs: Mapping[str, Column], initial: Mapping[str, Column] | None = None
-) -> DataFrame:
-    """``df`` with a column for each of ``inputs`` (output name to ``g``), its first value being ``b * initial + g``.
 
-    ``initial`` defaults to 0 and must be constant within a key.  The block length keeps powers of
-    ``beta`` far from overflow.
+def affine_scan(
+    df: DataFrame, key: Sequence[str], order: str, beta: float, inputs: Mapping[str, Column], initial: Mapping[str, Column] | None = None,
+    row: Column | None = None, opening: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """``df`` with ``_i`` (a row's number in its key) and a column for each of ``inputs`` (output name to ``g``), its first value being ``b * initial + g``.
+
+    ``initial`` is that of a key's first row, 0 by default.  Where ``g`` needs the row before, which a block's first row lacks, it is 0 there in
+    ``inputs``; ``opening`` gives it in SQL from ``x.head``, that row's ``row``, and ``a.last``, the ``row`` before it (null at a key's first).
+    The length of a block's parts keeps powers of ``beta`` far from overflow.
     """
     if not 0 < beta < 1:
         raise ValueError("beta must lie between 0 and 1")
-    initial = dict(initial or {})
+    initial, opening, row = dict(initial or {}), opening or {}, row if row is not None else F.struct(F.lit(0).alias("none"))
     length = max(1, min(4096, int(500 / -math.log(beta))))
-    index = F.row_number().over(Window.partitionBy(*key).orderBy(order)) - 1
-    rows = df.withColumn("_i", index)
-    rows = rows.select("*", *(g.alias(f"_g_{n}") for n, g in inputs.items()), *(initial.get(n, F.lit(0.0)).cast("double").alias(f"_c_{n}") for n in inputs))
-    rows = rows.withColumn("_b", F.floor(F.col("_i") / length)).withColumn("_j", F.col("_i") % length)
-    inside = Window.partitionBy(*key, "_b").orderBy("_j").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    power = F.pow(F.lit(beta), F.col("_j"))
-    local = {n: power * F.sum(F.pow(F.lit(beta), -F.col("_j")) * F.col(f"_g_{n}")).over(inside) for n in inputs}
-    rows = rows.select("*", *(c.alias(f"_l_{n}") for n, c in local.items()))
-    ends = rows.groupBy(*key, "_b").agg(
-        F.count(F.lit(1)).alias("n"), *(F.max_by(f"_l_{n}", "_j").alias(f"e_{n}") for n in inputs), *(F.first(f"_c_{n}").alias(f"c_{n}") for n in inputs)
-    )
-    carried = ends.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("_b", "n", *(f"e_{n}" for n in inputs), *(f"c_{n}" for n in inputs)))).alias("s"))
-    for n in inputs:
-        step = f"(a, x) -> struct(concat(a.out, array(a.c)) as out, x.e_{n} + a.c * pow({beta!r}D, x.n) as c)"
-        carried = carried.withColumn(f"k_{n}", F.expr(f"aggregate(s, struct(cast(array() as array<double>) as out, s[0].c_{n} as c), {step}).out"))
-    zipped = F.arrays_zip(F.col("s._b").alias("_b"), *(F.col(f"k_{n}").alias(f"_k_{n}") for n in inputs))
-    carries = carried.select(*key, F.inline(zipped))
-    out = rows.join(carries, [*key, "_b"])
-    done = [(F.col(f"_l_{n}") + F.col(f"_k_{n}") * power * beta).alias(n) for n in inputs]
-    return out.select(*(c for c in df.columns), "_i", *done)
+    at = [BLOCK, "_part"]
+    along = Window.partitionBy(*key, BLOCK).orderBy(order)
+    rows = (df if BLOCK in df.columns else with_block(df, order)).select(
+        "*", (F.row_number().over(along) - 1).alias("_j"), row.alias("_row"), *(g.alias(f"_g_{n}") for n, g in inputs.items()),
+        *(initial.get(n, F.lit(0.0)).cast("double").alias(f"_c_{n}") for n in inputs),
+    )
+    rows = rows.withColumn("_part", F.floor(F.col("_j") / length)).withColumn("_p", F.col("_j") % length)
+    inside = Window.partitionBy(*key, *at).orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    power = F.pow(F.lit(beta), F.col("_p"))
+    rows = rows.select("*", *((power * F.sum(F.pow(F.lit(beta), -F.col("_p")) * F.col(f"_g_{n}")).over(inside)).alias(f"_l_{n}") for n in inputs))
+    ends = rows.groupBy(*key, *at).agg(
+        F.count(F.lit(1)).alias("n"), F.min_by("_row", "_p").alias("head"), F.max_by("_row", "_p").alias("tail"),
+        *(F.max_by(f"_l_{n}", "_p").alias(f"e_{n}") for n in inputs), *(F.min_by(f"_c_{n}", "_p").alias(f"c_{n}") for n in inputs),
+    )
+    kind = ends.schema["tail"].dataType.simpleString()
+    start = {f"k_{n}": f"get(s, 0).c_{n}" for n in inputs} | {"before": "0L", "last": f"cast(null as {kind})"}
+    # What a part's rows get from before it, at its first row: they fade by ``beta`` a row.
+    into = {n: f"(a.k_{n} * {beta!r}D + {f'if(x._part = 0, {opening[n]}, 0D)' if n in opening else '0D'})" for n in inputs}
+    step = {f"k_{n}": f"x.e_{n} + {into[n]} * pow({beta!r}D, x.n - 1)" for n in inputs} | {"before": "a.before + x.n", "last": "x.tail"}
+    emit = {f"_k_{n}": into[n] for n in inputs} | {"_before": "a.before"}
+    behind = _within(key, ["_p"], at)
+    both = _headed(rows, fold(ends, key, start, step, at, emit))
+    both = both.select(*rows.columns, "_head", *(F.first(c).over(behind).alias(c) for c in emit)).filter("_head is null")
+    done = [(F.col(f"_l_{n}") + F.col(f"_k_{n}") * power).alias(n) for n in inputs]
+    return both.select(*df.columns, (F.col("_before") + F.col("_j")).alias("_i"), *done)
 
 
 def rsi_value(gain: Column, loss: Column) -> Column:
@@ -64,19 +72,23 @@ def wilder_rsi(
     """
     if period < 2:
         raise ValueError("period must be at least 2")
-    along = Window.partitionBy(*key).orderBy(order)
     rows = df
     if state is not None:
         held = state.select(*key, F.col("last_close").alias("_lc"), F.col("avg_gain").alias("_ag"), F.col("avg_loss").alias("_al"))
         rows = df.join(held, list(key), "left")
     else:
         rows = df.select("*", *(F.lit(None).cast("double").alias(c) for c in ("_lc", "_ag", "_al")))
-    rows = rows.withColumn("_step", F.col(close) - F.coalesce(F.lag(close).over(along), F.col("_lc")))
-    gain = F.coalesce(F.greatest(F.col("_step"), F.lit(0.0)), F.lit(0.0)) / period
-    loss = F.coalesce(F.greatest(-F.col("_step"), F.lit(0.0)), F.lit(0.0)) / period
+    rows = with_block(rows, order)
+    before = F.lag(F.col(close)).over(Window.partitionBy(*key, BLOCK).orderBy(order))
+    rows = rows.withColumn("_step", F.col(close) - F.coalesce(before, F.col("_lc")))
+    first = F.row_number().over(Window.partitionBy(*key, BLOCK).orderBy(order)) == 1
+    rise = lambda step: F.when(first, 0.0).otherwise(F.coalesce(F.greatest(step, F.lit(0.0)), F.lit(0.0)) / period)
+    moved = "x.head.c - coalesce(a.last.c, x.head.lc)"
+    opening = {n: f"coalesce(greatest({sign}({moved}), 0D), 0D) / {period}" for n, sign in (("avg_gain", ""), ("avg_loss", "-"))}
     scanned = affine_scan(
-        rows, key, order, (period - 1) / period, {"avg_gain": gain, "avg_loss": loss},
+        rows, key, order, (period - 1) / period, {"avg_gain": rise(F.col("_step")), "avg_loss": rise(-F.col("_step"))},
         {"avg_gain": F.coalesce("_ag", F.lit(0.0)), "avg_loss": F.coalesce("_al", F.lit(0.0))},
+        F.struct(F.col(close).cast("double").alias("c"), F.col("_lc").alias("lc")), opening,
     )
     ready = F.col("_lc").isNotNull() | (F.col("_i") >= period)
     return scanned.select(*df.columns, "avg_gain", "avg_loss", F.when(ready, rsi_value(F.col("avg_gain"), F.col("avg_loss"))).alias("rsi"))
@@ -91,9 +103,7 @@ def rsi_state(rsi: DataFrame, key: Sequence[str] = ("symbol",), order: str = "d"
 def ema(df: DataFrame, span: int, key: Sequence[str] = ("symbol",), order: str = "d", value: str = "close", out: str = "ema") -> DataFrame:
     """``df`` with the exponential mean of ``value`` (weight ``2 / (span + 1)``, started at the first value), null on a key's first ``span`` rows."""
     alpha = 2 / (span + 1)
-    first = F.row_number().over(Window.partitionBy(*key).orderBy(order)) == 1
-    rows = df.withColumn("_g", F.when(first, F.col(value)).otherwise(alpha * F.col(value)))
-    scanned = affine_scan(rows, key, order, 1 - alpha, {"_ema": F.col("_g")})
+    scanned = affine_scan(df, key, order, 1 - alpha, {"_ema": alpha * F.col(value)}, {"_ema": F.col(value)})  # the first mean is the first value
     return scanned.select(*df.columns, F.when(F.col("_i") >= span, F.col("_ema")).alias(out))
 
 
@@ -101,9 +111,7 @@ def trend_states(df: DataFrame, start: float, end: float, key: Sequence[str] = (
     """``df`` with ``in_trend``: opened by the previous row's ``rsi <= start``, closed by ``>= end``, false at first."""
     if start >= end:
         raise ValueError("a trend must start below its end")
-    along = Window.partitionBy(*key).orderBy(order)
-    before = F.lag(rsi).over(along)
-    event = F.when(before <= start, True).when(before >= end, False)
-    rows = df.withColumn("_event", event)
-    held = F.last("_event", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return rows.withColumn("in_trend", F.coalesce(held, F.lit(False))).drop("_event")
+    # Each row opens, closes or keeps the state of the rows behind it, so the state is the last event before a row.
+    event = F.when(F.col(rsi) <= start, True).when(F.col(rsi) >= end, False)
+    rows = last_known(df, key, [order], {"_event": event})
+    return rows.withColumn("in_trend", F.coalesce("_event", F.lit(False))).drop("_event", BLOCK)

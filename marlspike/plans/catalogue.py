@@ -148,9 +148,10 @@ signals AS (SELECT *, CASE WHEN in_trend AND rsi < 30 THEN 'BUY' WHEN rsi > 70 T
 
 
 def _signals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    daily = scan.wilder_rsi(market.bars(spark, sf_dir).select("symbol", "d", "close"), 14)
-    weekly = scan.wilder_rsi(_weeks(spark, sf_dir).select("symbol", "week_start", "close"), 14, order="week_start")
-    return signals.rsi_signals(daily, weekly)
+    prices = settle(market.bars(spark, sf_dir), "bars")
+    daily = scan.wilder_rsi(prices.select("symbol", "d", "close"), 14)
+    weekly = scan.wilder_rsi(candles.weekly_candles(prices).select("symbol", "week_start", "close"), 14, order="week_start")
+    return signals.rsi_signals(settle(daily, "daily_rsi"), settle(weekly, "weekly_rsi"))
 
 
 @registered(query(f"SELECT symbol, d, {r('rsi')}, in_trend, signal FROM signals", BARS, WEEKS, DAILY_RSI, WEEKLY_RSI, trend_cte(), SIGNALS))
@@ -603,8 +604,8 @@ def _named(series: DataFrame, names: tuple[str, ...]) -> dict[str, DataFrame]:
 def _training(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, dict[str, DataFrame]]:
     bars = settle(market.bars(spark, sf_dir), "bars")
     prices = bars.select("symbol", "d", "close")
-    daily = scan.wilder_rsi(prices, 14)
-    weekly = scan.wilder_rsi(candles.weekly_candles(bars).select("symbol", "week_start", "close"), 14, order="week_start")
+    daily = settle(scan.wilder_rsi(prices, 14), "daily_rsi")
+    weekly = settle(scan.wilder_rsi(candles.weekly_candles(bars).select("symbol", "week_start", "close"), 14, order="week_start"), "weekly_rsi")
     named = _named(settle(_series(spark, sf_dir), "series"), ("dollar", "vix", "ten", "two", "supply", "addresses", "transactions"))
     attention = features.stitch_windows(market.interest(spark, sf_dir)).filter(F.col("term") == market.CAPPED).select("d", "interest")
     out = features.training_daily(daily, weekly, market.score_series(spark, sf_dir), named, market.vintages(spark, sf_dir), attention, market.EPOCHS)

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import statistics
 from datetime import date, timedelta
 
@@ -381,3 +382,49 @@ def test_quality_finds_faults(spark):
     assert (r["missing_days"], r["max_gap"], r["weekday_coverage"]) == (3, 4, 0.4)
     assert quality.duplicates(gaps.unionByName(gaps), ["symbol", "d"]).count() == 2
 
+
+
+def test_blocked_scans_against_windows(spark):
+    """Numbers and last known values equal a window over the whole key, whatever the months; null keys are keys, and an empty table is one."""
+    from pyspark.sql import Window
+
+    from marlspike.operators import blocks
+
+    rng = random.Random(1)
+    rows = [(k, date(2020, 1, 1) + timedelta(days=i), rng.random() if rng.random() < 0.3 else None) for k in ("a", "b", None) for i in range(400) if rng.random() < 0.7]
+    df = spark.createDataFrame(rows, "k string, d date, v double")
+    w = Window.partitionBy("k").orderBy("d")
+    key = lambda rs, *cols: sorted(str([r["k"], r["d"], *(r[c] for c in cols)]) for r in rs.collect())
+    assert key(blocks.numbered(df, ["k"], "d"), "_i") == key(df.withColumn("_i", F.row_number().over(w) - 1), "_i")
+    for inclusive in (False, True):
+        until = w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+        got = blocks.last_known(df, ["k"], ["d"], {"p": F.col("v"), "q": F.struct("d", "v")}, inclusive)
+        want = df.withColumns({"p": F.last("v", ignorenulls=True).over(until), "q": F.last(F.struct("d", "v"), ignorenulls=True).over(until)})
+        assert key(got, "p", "q") == key(want, "p", "q")
+    assert blocks.numbered(df.limit(0), ["k"], "d").count() == 0 and blocks.last_known(df.limit(0), [], ["d"], {"p": F.col("v")}).count() == 0
+
+
+def test_no_window_holds_a_whole_key(spark):
+    """Scans, latches and as-of joins shuffle and sort by key and month only."""
+    bars = spark.createDataFrame([("a", date(2024, 1, 1) + timedelta(days=i), 1.0 + i % 7) for i in range(90)], "symbol string, d date, close double")
+    weeks = bars.select("symbol", F.col("d").alias("week_start"), F.col("close").alias("rsi"))
+    made = {
+        "rsi": scan.wilder_rsi(bars, 3), "ema": scan.ema(bars, 3), "latch": scan.trend_states(weeks, 2, 5),
+        "asof": asof.asof(bars, weeks, "d", "week_start", ["rsi"], by=["symbol"], strict=True),
+    }
+    for name, df in made.items():
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        parts = re.findall(r"windowspecdefinition\(([^)]*?)(?: ASC| DESC)", plan)
+        assert parts and all("_block#" in p for p in parts), name
+
+
+def test_trend_latch_at_any_block_edge(spark):
+    """The latch equals a loop, wherever months end."""
+    rng = random.Random(6)
+    rows = [(s, date(2022, 1, 3) + timedelta(days=3 * i), rng.choice([10.0, 40.0, 55.0, 70.0, 90.0, 55.0, 55.0, None])) for s in "ab" for i in range(150)]
+    got = {(r["symbol"], r["week_start"]): r["in_trend"] for r in scan.trend_states(spark.createDataFrame(rows, "symbol string, week_start date, rsi double"), 40, 70).collect()}
+    for s in "ab":
+        open_ = False
+        for _, d, rsi in (r for r in rows if r[0] == s):
+            assert got[s, d] is open_
+            open_ = open_ if rsi is None else True if rsi <= 40 else False if rsi >= 70 else open_
