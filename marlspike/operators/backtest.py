@@ -32,16 +32,22 @@ class SplitConfig:
             raise ValueError("sizes of a split must be positive")
 
 
+class HoldoutViolation(ValueError):
+    """Weeks of the sealed holdout where only weeks before it may be."""
+
+
 def walk_forward(weeks: DataFrame, cfg: SplitConfig | None = None, holdout: date | None = None) -> DataFrame:
-    """``fold``, ``role`` (train, test) and ``week_start`` of every fold, from the distinct weeks before ``holdout``.
+    """``fold``, ``role`` (train, test) and ``week_start`` of every fold, from the distinct weeks, none of which may lie in the holdout.
 
+    A week from ``holdout`` on is refused, not dropped: who passes one has looked at what is sealed (:func:`before_holdout` cuts them).
     Train ends ``purge`` weeks before the test part, which begins ``embargo`` weeks late; the last fold
     takes the remainder.  One row a week: the frame is as long as the calendar, not as the data.
     """
     cfg = cfg or SplitConfig()
     days = weeks.select("week_start").distinct()
-    days = days.filter(F.col("week_start") < F.lit(holdout)) if holdout else days
-    n = days.count()
+    last, n = days.agg(F.max("week_start"), F.count(F.lit(1))).first()
+    if holdout and last is not None and last >= holdout:
+        raise HoldoutViolation(f"weeks up to {last} lie in the holdout, which begins on {holdout}")
     if n < cfg.min_train + cfg.n_splits:
         raise ValueError(f"{n} weeks are too few for {cfg.n_splits} folds after {cfg.min_train}")
     size = (n - cfg.min_train) // cfg.n_splits
@@ -61,6 +67,11 @@ def walk_forward(weeks: DataFrame, cfg: SplitConfig | None = None, holdout: date
     return numbered.select("week_start", F.explode(F.array_compact(F.array(*role))).alias("f")).select("f.fold", "f.role", "week_start")
 
 
+def before_holdout(rows: DataFrame, start: date, week: str = "week_start") -> DataFrame:
+    """Rows of the weeks before the holdout."""
+    return rows.filter(F.col(week) < F.lit(start))
+
+
 def open_holdout(weeks: DataFrame, start: date, least: int = 250) -> DataFrame:
     """Weeks from ``start`` on; fewer than ``least`` are an error."""
     held = weeks.select("week_start").distinct().filter(F.col("week_start") >= F.lit(start))
@@ -85,13 +96,15 @@ def _priced(rows: DataFrame, costs: DataFrame) -> DataFrame:
     return rows.join(known, "symbol", "left").withColumn("_bps", F.coalesce("_bps", missing))
 
 
-def week_results(weights: DataFrame, returns: DataFrame, costs: DataFrame, calendar: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """``gross``, ``net`` and ``turnover`` of each return week.
+def week_results(
+    weights: DataFrame, returns: DataFrame, costs: DataFrame, calendar: DataFrame, by: Sequence[str] = (), rolls: Mapping[str, float] | None = None
+) -> DataFrame:
+    """``gross``, ``turnover``, ``cost`` and ``roll`` of each return week.
 
     ``weights``: ``by``, ``return_week``, ``symbol``, ``weight``.  ``returns``: ``symbol``, ``week_start``,
     ``excess_return`` (missing counts as 0).  ``costs``: ``symbol``, ``bps``; a traded symbol without one is an
     error.  ``calendar``: ``by`` and every week at which a book could have been held; after a week
-    without a book the next is bought from nothing.
+    without a book the next is bought from nothing.  ``rolls``: basis points a year that holding a symbol costs, none by default.
     """
     key = [*by, "return_week"]
     weights = settle(weights, "books")
@@ -108,19 +121,21 @@ def week_results(weights: DataFrame, returns: DataFrame, costs: DataFrame, calen
     paid = _priced(paid, costs)
     moved = F.abs(F.col("w1") - F.col("w0"))
     finite = F.when(~F.isnan("_r") & (F.abs("_r") < float("inf")), F.col("_r")).otherwise(0.0)
-    sums = paid.groupBy(*key).agg(F.sum(F.col("w1") * finite).alias("gross"), F.sum(moved).alias("turnover"), F.sum(-moved * F.col("_bps") / 10_000.0).alias("cost"))
+    sums = paid.groupBy(*key).agg(F.sum(F.col("w1") * finite).alias("gross"), F.sum(moved).alias("turnover"), F.sum(-moved * F.col("_bps") / 10_000.0).alias("cost"), F.sum(roll_cost(rolls or {}, "symbol", "w1")).alias("roll"))
     return sums
 
 
 def with_costs(results: DataFrame, multipliers: Sequence[float]) -> DataFrame:
-    """One copy of each week for every cost multiplier, with ``net``."""
+    """One copy of each week for every cost multiplier, with ``net``; the multiplier is that of trading costs, not of rolls."""
     rows = results.withColumn("cost_mult", F.explode(F.array(*(F.lit(float(m)) for m in multipliers))))
-    return rows.withColumn("net", F.col("gross") + F.col("cost") * F.col("cost_mult")).drop("cost")
+    roll = F.col("roll") if "roll" in results.columns else F.lit(0.0)
+    return rows.withColumn("net", F.col("gross") + F.col("cost") * F.col("cost_mult") + roll).drop("cost", "roll")
 
 
 def backtest(
-    signals: DataFrame, returns: DataFrame, costs: DataFrame, params: PortfolioParams | None = None, multipliers: Sequence[float] = (1.0,), with_capped: bool = True
-) -> DataFrame:
+    signals: DataFrame, returns: DataFrame, costs: DataFrame, params: PortfolioParams | None = None, multipliers: Sequence[float] = (1.0,), with_capped: bool = True,
+    rolls: Mapping[str, float] | None = None,
+) -> DataFrame:
     """Momentum backtest: the book formed from one week's signals earns the next week's returns.
 
     ``signals``: ``symbol``, ``week_start``, ``signal``, ``realized_vol_26w``, ``is_capped`` for every week, null signals included.
@@ -129,7 +144,7 @@ def backtest(
     steps = weeks.select("week_start", F.lead("week_start").over(Window.orderBy("week_start")).alias("return_week")).filter("return_week is not null")
     book = build_weights(signals.filter("signal is not null"), params, books=(with_capped,)).drop("include_capped")
     held = book.join(steps, "week_start").select("return_week", "symbol", "weight")
-    return with_costs(week_results(held, returns, costs, steps.select("return_week")), multipliers)
+    return with_costs(week_results(held, returns, costs, steps.select("return_week"), rolls=rolls), multipliers)
 
 
 def _sized(returns: DataFrame) -> DataFrame:
@@ -224,6 +239,9 @@ def cost_grid(classes: Mapping[str, str], bps: Mapping[str, float], spark) -> Da
     return spark.createDataFrame(rows, "symbol string, bps double")
 
 
-def roll_cost(days_share: Column, bps_per_year: Column | float) -> Column:
-    """Roll cost of a week, pro rata of a yearly figure."""
-    return -(bps_per_year if isinstance(bps_per_year, Column) else F.lit(float(bps_per_year))) / 10_000.0 * days_share
+def roll_cost(rolls: Mapping[str, float], symbol: str, weight: str, periods: int = 52) -> Column:
+    """What holding ``weight`` costs in a period: the yearly rate of ``rolls`` (basis points by symbol, others 0) compounded down to a period."""
+    rate = F.lit(0.0)
+    for name, bps in rolls.items():
+        rate = F.when(F.col(symbol) == name, (1 + bps / 10_000) ** (1 / periods) - 1).otherwise(rate)
+    return -rate * F.abs(weight)

@@ -48,7 +48,7 @@ def every_signal(returns: DataFrame, horizon: int) -> DataFrame:
 def run_grid(returns: DataFrame, costs: DataFrame, cfg: GridConfig) -> DataFrame:
     """Results of the weeks that all strategies share: ``strategy``, ``fold``, ``cost_mult``, ``return_week``, ``gross``, ``net``, ``turnover``.
 
-    ``returns``: weekly returns with ``is_capped``; read many times, so settle it before.
+    ``returns``: weekly returns with ``is_capped``, none of the holdout; read many times, so settle it before.
     """
     folds = settle(backtest.walk_forward(returns.select("week_start"), cfg.split, cfg.holdout), "folds")
     tests = folds.filter("role = 'test'").select("fold", F.col("week_start").alias("return_week"))

@@ -2,13 +2,53 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marlspike.operators.blocks import last_known
 from marlspike.operators.candles import weekly_candles
 
+_BAR = {"not above zero": "price_close <= 0", "high below low": "price_high < price_low", "negative volume": "volume_traded < 0"}
+#: Conditions under which a row of a table fails, by the check's name.
+RULES: dict[str, dict[str, str]] = {
+    **{f"bronze.{n}": _BAR for n in ("exchange_a", "exchange_b", "chart_etf", "eod_etf")},
+    "bronze.interest": {"outside 0 to 100": "interest not between 0 and 100"},
+    "bronze.money_vintages": {"ends before its start": "re < rs", "known before it was": "rs < obs"},
+    "silver.candles": {
+        "high below low": "high < low", "close outside": "close not between low and high", "negative volume": "volume < 0", "unknown temporality": "temporality not in ('1d', '1w')",
+        "week not from Monday": "temporality = '1w' and weekday(period_start) <> 0", "week not of seven days": "temporality = '1w' and datediff(period_end, period_start) <> 6",
+    },
+    "silver.rsi": {"outside 0 to 100": "rsi not between 0 and 100", "negative average": "avg_gain < 0 or avg_loss < 0"},
+    "gold.signals": {"unknown signal": "signal not in ('BUY', 'SELL', 'NEUTRAL')", "unreadable parameters": "trigger_params is null or try_parse_json(trigger_params) is null"},
+    "gold.weights": {"more than everything": "abs(weight) > 1 + 1e-9", "week not from Monday": "weekday(week_start) <> 0"},
+}
+#: Tables whose days must follow each other: the columns that tell the series apart, the day, and the most days between two.
+GAPS: dict[str, tuple[tuple[str, ...], str, int]] = {
+    "bronze.exchange_a": (("symbol",), "candle_date", 1), "bronze.exchange_b": (("symbol",), "candle_date", 1), "bronze.chart_etf": (("symbol",), "candle_date", 5),
+    "bronze.eod_etf": (("symbol",), "candle_date", 5), "silver.candles": (("symbol", "temporality"), "period_start", 7), "silver.rsi": (("symbol", "temporality", "rsi_period"), "period_start", 7),
+}
+
+
+def table_checks(
+    rows: DataFrame, key: Sequence[str], rules: Mapping[str, str] | None = None, gap: tuple[Sequence[str], str, int] | None = None
+) -> DataFrame:
+    """``check_name``, ``n_rows`` and ``n_failing`` of all checks of a table, in one pass: repeated keys (rows too many), nulls in keys, ``rules``, gaps.
+
+    A condition that is null does not fail.
+    """
+    failing = {"null in key": " or ".join(f"{k} is null" for k in key), **(rules or {})}
+    if gap is not None:
+        series, day, most = gap
+        rows = last_known(rows, series, [day], {"_before": F.col(day)})
+        failing["gap"] = f"datediff({day}, _before) > {most}"
+    counts = rows.agg(
+        F.count(F.lit(1)).alias("n"), (F.count(F.lit(1)) - F.count_distinct(F.struct(*key))).alias("c"), *(F.count_if(F.expr(c)).alias(f"c{i}") for i, c in enumerate(failing.values()))
+    )
+    named = [F.struct(F.lit(n).alias("check_name"), F.col("n").alias("n_rows"), F.col(c).alias("n_failing")) for n, c in (("repeated key", "c"), *((n, f"c{i}") for i, n in enumerate(failing)))]
+    return counts.select(F.inline(F.array(*named)))
+
 
 def week_checks(weeks: DataFrame) -> DataFrame:
     """Weeks not starting on Monday, or not ending six days later."""

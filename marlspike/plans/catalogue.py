@@ -887,3 +887,6 @@ def experiment_grid(spark, sf_dir):
     cfg = _grid_config()
     grid = experiments.run_grid(_books_input(spark, sf_dir), _costs(spark), cfg)
     return rounded(experiments.grid_results(grid, cfg))
+
+
+from marlspike.plans import lifecycle  # noqa: E402,F401  registers the queries over landing, tables and jobs

@@ -12,7 +12,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlspike.operators import candles, experiments, features, portfolio, scan, signals
+from marlspike.operators import candles, experiments, features, portfolio, quality, scan, signals
 from marlspike.sources import landing
 from marlspike.sources.shared import settle
 from marlspike.sources.tables import Catalog
@@ -24,34 +24,35 @@ PRICES = {"price_open": "open", "price_high": "high", "price_low": "low", "price
 
 
 def land(catalog: Catalog, table: str, raw: DataFrame, run_at: datetime, start: date | None = None, end: date | None = None, reprocess_days: int = REPROCESS_DAYS) -> DataFrame:
-    """Payloads of a configured source into its bronze table; returns what was not landed: rejects of bars, rows without a value of series.
+    """Payloads of a configured source into its bronze table; what was not landed goes into the quarantine and is returned: rejects of bars, rows without a value of series.
 
     ``start`` (less ``reprocess_days``) and ``end`` bound the days that are taken; without ``start`` all are.
     """
     cfg = landing.SOURCES[table]
     since = start - timedelta(days=reprocess_days) if start else None
-    until = end or start
-    if isinstance(cfg, landing.CandleSource):
-        rows, bad = landing.land_candles(raw, cfg, since, until, run_at)
-    elif isinstance(cfg, landing.BarSource):
-        rows, bad = landing.land_bars(raw, cfg, since, until, run_at)
-    else:
-        rows, bad = landing.land_series(raw, cfg, since, until, run_at)
-    catalog.upsert(table, rows)
-    return bad
+    landed = landing.land(raw, cfg, since, end or start, run_at)
+    _store(catalog, table, landed, run_at)
+    return landed.missing if isinstance(cfg, landing.SeriesSource) else landed.rejects
+
+
+def _store(catalog: Catalog, table: str, landed: landing.Landed, run_at: datetime) -> None:
+    """Rows to their table, the rest to the quarantine, where each content stays as it first came."""
+    catalog.upsert(table, landed.rows)
+    catalog.seed("control.quarantine", landing.quarantined(table, landed, run_at))
 
 
 def land_vintages(catalog: Catalog, raw: DataFrame, source_id: int, run_at: datetime) -> DataFrame:
     """Vintage payloads; the end of a vintage that was open is updated by its key.  Returns rows without a value."""
-    rows, gone = landing.land_vintages(raw, source_id, run_at)
-    catalog.upsert("bronze.money_vintages", rows)
-    return gone
+    landed = landing.vintages(raw, source_id, run_at)
+    _store(catalog, "bronze.money_vintages", landed, run_at)
+    return landed.missing
 
 
 def land_interest(catalog: Catalog, rows: DataFrame, term: str, window_start: date, source_id: int, run_at: datetime) -> DataFrame:
     """One request window of weekly interest.  Returns weeks without a value."""
     kept, gone = landing.land_interest(rows, term, window_start, source_id, run_at)
-    catalog.upsert("bronze.interest", kept)
+    none = rows.sparkSession.createDataFrame([], "payload string")
+    _store(catalog, "bronze.interest", landing.Landed(kept, gone, none), run_at)
     return gone
 
 
@@ -172,3 +173,22 @@ def run_experiments(
     results = experiments.grid_results(experiments.run_grid(returns, costs, cfg), cfg)
     catalog.seed("strategy.experiment_runs", experiments.ledger_rows(results, cfg, run_id, run_at, label))
     return catalog.read("strategy.experiment_runs").filter(F.col("run_id") == run_id)
+
+
+def run_checks(catalog: Catalog, run_id: str, run_at: datetime, rules: Mapping[str, Mapping[str, str]] = quality.RULES) -> DataFrame:
+    """Key, range and gap checks of every table that was ever written, added to the check results; returns the run's.  A run that is there already stays."""
+    stamp = F.lit(run_at).cast("timestamp")
+    found: DataFrame | None = None
+    for name, table in catalog.tables.items():
+        if name == "control.check_results" or not catalog.exists(name):
+            continue
+        part = quality.table_checks(catalog.read(name), table.key, rules.get(name), quality.GAPS.get(name)).select(F.lit(name).alias("table_name"), "*")
+        found = part if found is None else found.unionByName(part)
+    if found is not None:
+        catalog.seed("control.check_results", found.select(F.lit(run_id).alias("run_id"), "*", stamp.alias("datetime_update")))
+    return catalog.read("control.check_results").filter(F.col("run_id") == run_id)
+
+
+def signal_changes(catalog: Catalog) -> DataFrame:
+    """Changes of the stored signals, each strategy's by itself."""
+    return signals.signal_changes(catalog.read("gold.signals"), ("symbol", "strategy_id"), "signal_start")

@@ -33,6 +33,8 @@ TABLES = {
     t.name: t
     for t in (
         Table("control.source_priority", "source_id bigint, source_name string, priority bigint", ("source_id",)),
+        Table("control.quarantine", "source string, payload_hash string, reason string, payload string, datetime_update timestamp", ("source", "payload_hash", "reason")),
+        Table("control.check_results", "run_id string, table_name string, check_name string, n_rows bigint, n_failing bigint, datetime_update timestamp", ("run_id", "table_name", "check_name")),
         Table("strategy.strategy", "strategy_id bigint, strategy_name string", ("strategy_id",)),
         Table(
             "strategy.rsi_params",

@@ -4,17 +4,32 @@ Every parser takes a frame with one payload a row (``payload``, JSON or CSV text
 ``(rows, rejects)``: what could be read, and the payloads that could not.  Other columns of the
 payload rows are carried into both; a ``symbol`` column among them names each payload's symbol
 in place of the parser's own.
+
+:func:`land` takes the payloads of a configured source and loses none: what it does not land comes back as missing values
+(a bar without a close, an observation without a number) or as rejects (what could not be read), which
+:func:`quarantined` turns into rows of the quarantine table.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 Parsed = tuple[DataFrame, DataFrame]
+
+
+class Landed(NamedTuple):
+    """Rows to land, rows without a value, and payloads that could not be read."""
+
+    rows: DataFrame
+    missing: DataFrame
+    rejects: DataFrame
+
+
 DAY_MS = 86_400_000
 
 
@@ -93,8 +108,19 @@ def closed_candles(rows: DataFrame, as_of_ms: int) -> DataFrame:
     return rows.filter(F.col("open_ms") + DAY_MS <= as_of_ms)
 
 
+def _priced(parsed: Parsed) -> Parsed:
+    """Bars with a close and a date."""
+    rows, bad = parsed
+    return rows.filter("price_close is not null and candle_date is not null"), bad
+
+
 def parse_chart(raw: DataFrame, symbol: str, source_id: int) -> Parsed:
     """Parallel arrays of a chart payload; bars without a close are skipped, payloads with an error are rejected."""
+    return _priced(chart_bars(raw, symbol, source_id))
+
+
+def chart_bars(raw: DataFrame, symbol: str, source_id: int) -> Parsed:
+    """The same with the bars that have no close."""
     numbers = "open:array<double>,high:array<double>,low:array<double>,close:array<double>,volume:array<double>"
     shape = f"struct<chart:struct<error:string,result:array<struct<timestamp:array<bigint>,indicators:struct<quote:array<struct<{numbers}>>>>>>>"
     raw = _with_symbol(raw, symbol)
@@ -105,7 +131,7 @@ def parse_chart(raw: DataFrame, symbol: str, source_id: int) -> Parsed:
     none = F.array().cast("array<double>")  # a missing array must not void the others
     zipped = F.arrays_zip(F.col("r.timestamp").alias("t"), *(F.coalesce(q[n], none).alias(n) for n in ("open", "high", "low", "close", "volume")))
     bars = rows.filter(ok).select(*rest, F.explode(zipped).alias("_b"))
-    bars = bars.select(*rest, *(F.col(f"_b.{n}").alias(f"_{n}") for n in ("t", "open", "high", "low", "close", "volume"))).filter("_close is not null and _t is not null")
+    bars = bars.select(*rest, *(F.col(f"_b.{n}").alias(f"_{n}") for n in ("t", "open", "high", "low", "close", "volume")))
     out = bars.select(
         *rest, F.to_date(F.timestamp_seconds("_t")).alias("candle_date"), F.col("_open").alias("price_open"), F.col("_high").alias("price_high"),
         F.col("_low").alias("price_low"), F.col("_close").alias("price_close"), F.col("_volume").alias("volume_traded"), F.lit(source_id).cast("long").alias("source_id"),
@@ -114,18 +140,29 @@ def parse_chart(raw: DataFrame, symbol: str, source_id: int) -> Parsed:
 
 
 def parse_dollar_index(raw: DataFrame, source_id: int) -> Parsed:
-    """Chart payloads of the dollar index: ``d`` and the bar's prices, the date being the key."""
-    rows, bad = parse_chart(raw, "dollar", source_id)
+    """Chart payloads of the dollar index: ``d`` and the bar's prices, the date being the key; bars without a close are skipped."""
+    rows, bad = dollar_bars(raw, source_id)
+    return rows.filter("price_close is not null and d is not null"), bad
+
+
+def dollar_bars(raw: DataFrame, source_id: int) -> Parsed:
+    """The same with the bars that have no close."""
+    rows, bad = chart_bars(raw, "dollar", source_id)
     return rows.drop("symbol").withColumnRenamed("candle_date", "d"), bad.drop("symbol")
 
 
 def parse_eod(raw: DataFrame, symbol: str, source_id: int) -> Parsed:
     """Arrays of end-of-day bars with split factor and dividend; bars without a close are skipped, an error object is rejected."""
+    return _priced(eod_bars(raw, symbol, source_id))
+
+
+def eod_bars(raw: DataFrame, symbol: str, source_id: int) -> Parsed:
+    """The same with the bars that have no close."""
     shape = "array<struct<date:string,open:double,high:double,low:double,close:double,volume:double,splitFactor:double,divCash:double>>"
     raw = _with_symbol(raw, symbol)
     rest = _carried(raw)
     rows = raw.withColumn("is_list", F.ltrim("payload").startswith("[")).withColumn("j", F.when(F.col("is_list"), F.from_json("payload", shape)))
-    bars = rows.filter("j is not null").select(*rest, F.explode("j").alias("_b")).filter("_b.close is not null and _b.date is not null")
+    bars = rows.filter("j is not null").select(*rest, F.explode("j").alias("_b"))
     out = bars.select(
         *rest, F.to_date(F.substring("_b.date", 1, 10)).alias("candle_date"), F.col("_b.open").alias("price_open"), F.col("_b.high").alias("price_high"),
         F.col("_b.low").alias("price_low"), F.col("_b.close").alias("price_close"), F.col("_b.volume").alias("volume_traded"), F.col("_b.splitFactor").alias("split_factor"),
@@ -167,16 +204,17 @@ def parse_metric_pages(raw: DataFrame, cfg: SeriesSource) -> Parsed:
 
 
 def parse_metric_csv(raw: DataFrame, source_id: int) -> Parsed:
-    """Lines ``date,unix time,value``; the header and lines of fewer fields are skipped."""
-    lines = raw.select(F.explode(F.split("payload", r"\r?\n")).alias("line")).withColumn("f", F.split("line", ","))
+    """Lines ``date,unix time,value`` under a header; lines of fewer fields or without a date are rejected, empty ones skipped."""
+    lines = raw.select(F.posexplode(F.split("payload", r"\r?\n")).alias("_at", "line")).withColumn("f", F.split("line", ","))
     day = F.try_to_date(F.trim(F.col("f")[0]), "yyyy-MM-dd") if hasattr(F, "try_to_date") else F.expr("try_cast(trim(f[0]) as date)")
     kept = lines.filter(F.size("f") >= 3).withColumn("d", day)
     out = kept.filter("d is not null").select("d", _number(F.col("f")[2]).alias("value"), F.lit(source_id).cast("long").alias("source_id"))
-    return out, lines.filter((F.size("f") < 3) & (F.trim("line") != "")).select(F.col("line").alias("payload"))
+    undated = (F.size("f") >= 3) & (F.col("_at") > 0) & day.isNull()
+    return out, lines.filter(((F.size("f") < 3) & (F.trim("line") != "")) | undated).select(F.col("line").alias("payload"))
 
 
-def parse_interest(rows: DataFrame, term: str, window_start: date, source_id: int) -> DataFrame:
-    """Weekly interest of one request window; partial weeks are dropped, values rounded half to even."""
+def parse_interest(rows: DataFrame, term: str | Column, window_start: date | Column, source_id: int) -> DataFrame:
+    """Weekly interest of a request window (or of several, whose terms and windows are columns); partial weeks are dropped, values rounded half to even."""
     full = rows.filter(~F.coalesce("is_partial", F.lit(False)))
     return full.select(
         F.lit(term).alias("term"), F.lit(window_start).cast("date").alias("window_start"), F.to_date("date").alias("d"),
@@ -238,42 +276,59 @@ def _stamped(rows: DataFrame, as_of: datetime | None) -> DataFrame:
     return rows.withColumn("datetime_update", F.lit(as_of).cast("timestamp"))
 
 
-def land_candles(raw: DataFrame, cfg: CandleSource, start: date | None, end: date | None, as_of: datetime) -> Parsed:
-    """Closed candles of a date range, stamped with the time of the run."""
-    rows, bad = parse_candles(raw, cfg)
-    rows = in_range(closed_candles(rows, int(as_of.timestamp() * 1000)), "candle_date", start, end)
-    return _stamped(rows.drop("open_ms"), as_of), bad
-
-
-def land_bars(raw: DataFrame, cfg: BarSource, start: date | None, end: date | None, as_of: datetime) -> Parsed:
-    """Bars of end-of-day or chart payloads of a date range, without the day that is still open."""
-    rows, bad = (parse_eod if cfg.shape == "eod" else parse_chart)(raw, cfg.symbol, cfg.source_id)
-    rows = before(in_range(rows, "candle_date", start, end), "candle_date", as_of.date())
-    return _stamped(rows, as_of), bad
+def _series(raw: DataFrame, cfg: SeriesSource) -> tuple[str, str, Parsed]:
+    """Day and value columns of a series, and its parsed payloads."""
+    if cfg.shape == "observations":
+        return "obs_date", "obs_value", parse_observations(raw, cfg.source_id)
+    if cfg.shape == "csv":
+        return "d", "value", parse_metric_csv(raw, cfg.source_id)
+    if cfg.shape == "dollar":
+        return "d", "price_close", dollar_bars(raw, cfg.source_id)
+    return "metric_date", "metric_value", parse_metric_pages(raw, cfg)
+
+
+def land(raw: DataFrame, cfg: CandleSource | BarSource | SeriesSource, start: date | None, end: date | None, as_of: datetime | None) -> Landed:
+    """What a source's payloads hold of a range of days: closed candles and bars, values, and what cannot be landed."""
+    if isinstance(cfg, CandleSource):
+        day, value, (rows, bad) = "candle_date", "price_close", parse_candles(raw, cfg)
+        rows = closed_candles(rows, int(as_of.timestamp() * 1000)).drop("open_ms")
+    elif isinstance(cfg, BarSource):
+        day, value, (rows, bad) = "candle_date", "price_close", (eod_bars if cfg.shape == "eod" else chart_bars)(raw, cfg.symbol, cfg.source_id)
+        rows = before(rows, day, as_of.date())
+    else:
+        day, value, (rows, bad) = _series(raw, cfg)
+        rows = before(rows, day, as_of.date()) if cfg.shape == "dollar" and as_of else rows
+    kept, gone = split_missing(in_range(rows, day, start, end), value)
+    return Landed(_stamped(kept, as_of), gone, bad)
 
 
 def land_series(raw: DataFrame, cfg: SeriesSource, start: date | None = None, end: date | None = None, as_of: datetime | None = None) -> Parsed:
     """Values of a date range and the rows without a value."""
-    if cfg.shape == "observations":
-        day, value, (rows, _) = "obs_date", "obs_value", parse_observations(raw, cfg.source_id)
-    elif cfg.shape == "csv":
-        day, value, (rows, _) = "d", "value", parse_metric_csv(raw, cfg.source_id)
-    elif cfg.shape == "dollar":
-        day, value, (rows, _) = "d", "price_close", parse_dollar_index(raw, cfg.source_id)
-        rows = before(rows, day, as_of.date()) if as_of else rows
-    else:
-        day, value, (rows, _) = "metric_date", "metric_value", parse_metric_pages(raw, cfg)
-    kept, gone = split_missing(in_range(rows, day, start, end), value)
-    return _stamped(kept, as_of), gone
+    landed = land(raw, cfg, start, end, as_of)
+    return landed.rows, landed.missing
+
+
+def vintages(raw: DataFrame, source_id: int, as_of: datetime | None = None) -> Landed:
+    """Vintages with a value, those without, and what could not be read."""
+    rows, bad = parse_vintages(raw, source_id)
+    kept, gone = split_missing(rows, "value")
+    return Landed(_stamped(kept, as_of), gone, bad)
 
 
 def land_vintages(raw: DataFrame, source_id: int, as_of: datetime | None = None) -> Parsed:
     """Vintages with a value, and those without."""
-    kept, gone = split_missing(parse_vintages(raw, source_id)[0], "value")
-    return _stamped(kept, as_of), gone
+    return vintages(raw, source_id, as_of)[:2]
+
+
+def quarantined(source: str, landed: Landed, run_at: datetime) -> DataFrame:
+    """What was not landed, one row a source, content and reason (``unreadable`` or ``missing``), however often it comes."""
+    gone = landed.missing.select(F.lit("missing").alias("reason"), F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("payload"))
+    bad = landed.rejects.select(F.lit("unreadable").alias("reason"), F.coalesce("payload", F.lit("")).alias("payload"))
+    rows = gone.unionByName(bad).withColumn("payload_hash", F.sha2("payload", 256)).dropDuplicates(["payload_hash", "reason"])
+    return rows.select(F.lit(source).alias("source"), "payload_hash", "reason", "payload", F.lit(run_at).cast("timestamp").alias("datetime_update"))
 
 
-def land_interest(rows: DataFrame, term: str, window_start: date, source_id: int, as_of: datetime | None = None) -> Parsed:
+def land_interest(rows: DataFrame, term: str | Column, window_start: date | Column, source_id: int, as_of: datetime | None = None) -> Parsed:
     """Whole weeks of one request window with a value, and those without."""
     kept, gone = split_missing(parse_interest(rows, term, window_start, source_id), "interest")
     return _stamped(kept, as_of), gone

@@ -25,17 +25,22 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_marlspike"
 
 
+def folder(spark: SparkSession, tag: str, outlive: bool = False) -> str:
+    """A new folder's path in the shared folder; it goes as what is settled goes."""
+    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    lists = (_made, *_scopes.get())
+    lists[max(len(lists) - 1 - outlive, 0)].append(path)
+    return path
+
+
 def settle(df: DataFrame, tag: str = "settled", outlive: bool = False) -> DataFrame:
     """``df`` written as Parquet and read back: what is used several times is computed once, and a lost executor costs one stage.
 
     Inside a :func:`scratch` block it goes with the block, unless it is to ``outlive`` it.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    lists = (_made, *_scopes.get())
-    lists[max(len(lists) - 1 - outlive, 0)].append(path)
+    path = folder(df.sparkSession, tag, outlive)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _delete(spark: SparkSession, paths: list[str]) -> int:

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marlspike.schemas import TABLES, Table
+from marlspike.sources.shared import scratch, settle
 
 MONTH = "_month"
 LAYERS = ("bronze", "silver", "gold")
@@ -200,10 +201,13 @@ class Catalog:
         return len(staged[:1])
 
     def upsert(self, name: str, batch: DataFrame, update: Sequence[str] | None = None, order: str | None = "datetime_update") -> None:
-        """Merges ``batch`` by the table's key.  An empty batch changes nothing, and a replay changes nothing."""
+        """Merges ``batch`` by the table's key.  An empty batch changes nothing, and a replay changes nothing.  The batch is worked out once."""
         table = self.tables[name]
         self.recover(name)
-        batch = self._shaped(table, batch)
+        with scratch(self.spark):
+            self._merge(name, table, settle(self._shaped(table, batch), "batch"), update, order)
+
+    def _merge(self, name: str, table: Table, batch: DataFrame, update: Sequence[str] | None, order: str | None) -> None:
         if not table.partition:
             if not batch.isEmpty():
                 self._replace(name, merged(self.read(name), batch, table.key, update, order), None)
