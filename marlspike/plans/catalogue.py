@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marlspike.operators import asof, backtest, candles, experiments, features, portfolio, quality, scan, signals, stats
+from marlspike.operators import asof, backtest, candles, experiments, features, overfit, portfolio, quality, scan, signals, stats
 from marlspike.plans.sql import (
     ACTIONS, BARS, DAILY_RSI, INTEREST, MOMENTUM, RETURNS, SERIES, VINTAGES, WEEKLY_RSI, WEEKS, WEIGHTS, query, r, trend_cte,
 )
@@ -519,6 +519,12 @@ def overfit_probability_20(spark, sf_dir):
     return rounded(stats.pbo(_trials(spark, sf_dir), n_blocks=20))
 
 
+@registered(query(PBO_ROW, BARS, WEEKS, ACTIONS, SERIES, RETURNS, _pbo(20)))
+def overfit_probability_tiled(spark, sf_dir):
+    """The same in tiles of trials and ranges of halves, without a broadcast."""
+    return rounded(overfit.pbo_tiled(_trials(spark, sf_dir), n_blocks=20))
+
+
 def _phi(x: str) -> str:
     """The normal distribution as a series, for |x| up to about 6."""
     return f"(0.5 + exp(-{x} * {x} / 2) / sqrt(2 * pi()) * list_sum(list_transform(range(0, 90), lambda j: pow({x}, 2 * j + 1) * sqrt(pi()) / (pow(2e0, j + 1) * gamma(j + 1.5)))))"

@@ -428,3 +428,41 @@ def test_trend_latch_at_any_block_edge(spark):
         for _, d, rsi in (r for r in rows if r[0] == s):
             assert got[s, d] is open_
             open_ = open_ if rsi is None else True if rsi <= 40 else False if rsi >= 70 else open_
+
+
+@pytest.mark.parametrize("tile", [7, 2048])
+def test_pbo_in_tiles(spark, monkeypatch, tile):
+    """Many trials in many tiles, ties among them, against numpy over all at once; and no join without a key."""
+    import itertools
+
+    import numpy as np
+
+    from marlspike.operators import overfit
+
+    monkeypatch.setattr(overfit, "TILE", tile)
+    monkeypatch.setattr(overfit, "RANGE_BITS", 5)
+    rng = np.random.default_rng(8)
+    r = rng.integers(-4, 5, (120, 33)).astype(float)
+    r[50:60] = r[10]
+    rows = [(f"t{k:03d}", i, float(r[k, i])) for k in range(120) for i in range(33)]
+    got = overfit.pbo_tiled(spark.createDataFrame(rows, "trial string, t int, r double"), 8)
+    parts = [np.arange(b * 4, 33 if b == 7 else b * 4 + 4) for b in range(8)]
+    over = []
+    for test in itertools.combinations(range(8), 4):
+        out = np.concatenate([parts[b] for b in test])
+        inside = np.setdiff1d(np.arange(33), out)
+        best = int(r[:, inside].mean(axis=1).round(12).argmax())
+        outside = r[:, out].mean(axis=1)
+        over.append((int((outside.round(12) > outside[best].round(12)).sum()) + 1) / 120 > 0.5)
+    row = got.first()
+    assert row["n_paths"] == 70 and row["pbo"] == pytest.approx(sum(over) / 70)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "Broadcast" not in plan
+
+
+def test_pbo_of_a_hundred_thousand_trials(spark):
+    from marlspike.operators import overfit
+
+    df = spark.range(100_000).select(F.col("id").alias("trial"), F.explode(F.sequence(F.lit(0), F.lit(11))).alias("t")).withColumn("r", F.pmod(F.xxhash64("trial", "t"), F.lit(1000)) / 1000.0)
+    row = overfit.pbo_tiled(df, 6).first()
+    assert row["n_paths"] == 20 and 0.2 < row["pbo"] < 0.8

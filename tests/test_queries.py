@@ -12,7 +12,7 @@ ONE_ROW_SIDES = {"experiment_grid", "newey_west", "overfit_probability", "overfi
 
 
 #: Queries that need more weeks than the smallest tables have.
-LARGER = {"overfit_probability_20": "/root/testdata/sf0.01"}
+LARGER = {n: "/root/testdata/sf0.01" for n in ("overfit_probability_20", "overfit_probability_tiled")}
 
 
 def views(folder):
