@@ -39,6 +39,16 @@ def maybe_in(rows: DataFrame, keys: DataFrame, *names: str) -> DataFrame:
     return tested.filter(F.getbit(byte, F.expr("cast(_bit % 8 as int)")) == 1).select(*rows.columns)
 
 
+def maybe_flag(rows: DataFrame, keys: DataFrame, *names: str) -> DataFrame:
+    """``rows`` with ``_maybe``: true where ``names`` are among those of ``keys``, false for most others; no row is moved (see :func:`maybe_in`)."""
+    place = (F.pmod(F.xxhash64(*names), F.lit(MARKS)) + 1).alias("_place")
+    bucket, bit = F.bitmap_bucket_number("_place"), F.bitmap_bit_position("_place")
+    marks = keys.select(place).groupBy(bucket.alias("_bucket")).agg(F.bitmap_construct_agg(bit).alias("_bits"))
+    tested = rows.withColumn("_place", place).withColumns({"_bucket": bucket, "_bit": bit}).join(F.broadcast(marks), "_bucket", "left")
+    byte = F.conv(F.hex(F.expr("substring(_bits, cast(_bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    return tested.select(*rows.columns, F.coalesce(F.getbit(byte, F.expr("cast(_bit % 8 as int)")) == 1, F.lit(False)).alias("_maybe"))
+
+
 def utf8_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All texts of an Arrow string column as one byte array with offsets; a null is an empty text."""
     column = column.cast(pa.large_binary()) if not pa.types.is_large_binary(column.type) else column

@@ -21,7 +21,7 @@ segment, and there are few of them (one for about 170 bytes).
    share.  Pieces are counted, and sorted, like segments; a piece of one window needs no sort.
 
 Cases: null and empty texts, and texts shorter than the window, keep all bytes; equal rows
-repeat each other; very long texts are cut into blocks with an overlap; matches never cross
+repeat each other, wholly, and stand for one row in the search; very long texts are cut into blocks with an overlap; matches never cross
 texts; an empty table gives an empty result; extra columns are ignored.
 """
 
@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlspike.llm.common import materialise, maybe_in, row_key, scratch, utf8_buffer
+from marlspike.llm.common import materialise, maybe_flag, maybe_in, row_key, scratch, utf8_buffer
 
 LENGTH, GRAM = 400, 64
 #: Bytes hashed together, segments of one anchor that are sorted together, and windows of a piece at each finer cut.
@@ -386,7 +386,24 @@ def _cut_from(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 def repeated_spans(rows: DataFrame) -> DataFrame:
     """Spans (``_k1``, ``_k2``, ``lo``, ``hi``) of repeated bytes of the texts of ``rows`` (``_k1``, ``_k2``, ``_text``)."""
     with scratch(rows.sparkSession):
-        return materialise(_all_spans(rows).distinct(), "spans", outlive=True)
+        once, whole = _once(rows)
+        spans = _all_spans(once)
+        return materialise((spans if whole is None else spans.unionByName(whole)).distinct(), "spans", outlive=True)
+
+
+def _once(rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """One row of each key, and the spans of keys that have several: whole texts, for each string of them starts in the other row too.
+
+    Of all other texts none is moved for that.
+    """
+    size = F.octet_length("_text").cast("long")
+    copies = rows.groupBy("_k1", "_k2").agg(F.count(F.lit(1)).alias("n"), F.max(size).alias("hi")).filter("n > 1")
+    copies = materialise(copies.select("_k1", "_k2", F.lit(0).cast("long").alias("lo"), "hi"), "copies")
+    if copies.isEmpty():
+        return rows, None
+    told = maybe_flag(rows, copies, "_k1", "_k2")
+    one = materialise(told.filter("_maybe").drop("_maybe").dropDuplicates(["_k1", "_k2"]), "once")
+    return told.filter("not _maybe").drop("_maybe").unionByName(one), copies.filter(F.col("hi") >= LENGTH)
 
 
 def _all_spans(rows: DataFrame) -> DataFrame:
