@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Collection, Mapping
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marlspike.operators import candles, experiments, features, portfolio, quality, scan, signals
@@ -48,8 +48,8 @@ def land_vintages(catalog: Catalog, raw: DataFrame, source_id: int, run_at: date
     return landed.missing
 
 
-def land_interest(catalog: Catalog, rows: DataFrame, term: str, window_start: date, source_id: int, run_at: datetime) -> DataFrame:
-    """One request window of weekly interest.  Returns weeks without a value."""
+def land_interest(catalog: Catalog, rows: DataFrame, term: str | Column, window_start: date | Column, source_id: int, run_at: datetime) -> DataFrame:
+    """A request window of weekly interest (or several, whose terms and windows are columns).  Returns weeks without a value."""
     kept, gone = landing.land_interest(rows, term, window_start, source_id, run_at)
     none = rows.sparkSession.createDataFrame([], "payload string")
     _store(catalog, "bronze.interest", landing.Landed(kept, gone, none), run_at)

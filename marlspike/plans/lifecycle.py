@@ -309,6 +309,45 @@ def job_rsi_signals(spark, sf_dir):
     return rounded(rows.select("symbol", F.col("signal_start").cast("timestamp_ntz").alias("signal_start"), "signal", read["rsi"].alias("rsi"), read["in_trend"].alias("in_trend"), run.alias("run")))
 
 
+UNIVERSE = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED")
+_MOMENTUM = MOMENTUM.replace("FROM returns WHERE", "FROM returns WHERE symbol <> '5-LOW' AND")
+_WEIGHTS = c.WEIGHTS.replace("SELECT m.*,", "SELECT m.* REPLACE (round(m.realized_vol_26w, 6) AS realized_vol_26w),")
+
+
+@registered(query(f"SELECT symbol, week_start, include_capped, {r('weight')}, 3 AS strategy_id FROM weights", BARS, WEEKS, ACTIONS, SERIES, RETURNS, _MOMENTUM, _WEIGHTS))
+def job_momentum(spark, sf_dir):
+    """Stored weights of the job over a universe of four symbols, run twice: candles, signals, and weights from the stored signals' parameters."""
+    catalog = _with_bars(spark, sf_dir)
+    jobs.conform(catalog, jobs.bronze_sources(catalog, {1: "bronze.exchange_a"}), date(1990, 1, 1), date(2010, 1, 1), RUN)
+    actions = settle(market.actions(market.bars(spark, sf_dir)), "actions")
+    rate = settle(market.one_series(c._series(spark, sf_dir), "funds"), "rate")
+    for at in (RUN, LATER):
+        jobs.run_momentum(catalog, actions, rate, frozenset({market.CAPPED}), at, UNIVERSE)
+    return rounded(catalog.read("gold.weights").select("symbol", "week_start", "include_capped", "weight", F.col("strategy_id").cast("int").alias("strategy_id")))
+
+
+@registered(query("SELECT obs, rs, re, " + r("value") + " FROM vintages", VINTAGES))
+def catalogue_vintages(spark, sf_dir):
+    """Vintages that land while they are open, then again with their ends."""
+    v, catalog = settle(market.vintages(spark, sf_dir), "vintages"), _catalog(spark)
+    for end, at in ((F.lit("9999-12-31"), RUN), (F.col("re").cast("string"), LATER)):
+        item = F.struct(
+            F.col("obs").cast("string").alias("date"), F.col("rs").cast("string").alias("realtime_start"), end.alias("realtime_end"), F.format_string("%.9f", F.col("value").cast("double")).alias("value")
+        )
+        jobs.land_vintages(catalog, _pages(v, "obs", item, lambda many: F.to_json(F.struct(many.alias("observations")))), 1, at)
+    return rounded(catalog.read("bronze.money_vintages").select("obs", "rs", "re", "value"))
+
+
+@registered(query("SELECT term, window_start, d, interest, day(d) % 5 = 0 AS is_new FROM interest", INTEREST))
+def catalogue_interest(spark, sf_dir):
+    """Weeks of interest that land without every fifth day's, then whole; what was there and came again is as before."""
+    x, catalog = settle(market.interest(spark, sf_dir), "interest"), _catalog(spark)
+    rows = x.select("term", "window_start", F.col("d").cast("string").alias("date"), F.col("interest").cast("string").alias("interest"), F.lit(False).alias("is_partial"))
+    for some, at in ((F.dayofmonth(F.to_date("date")) % 5 != 0, RUN), (F.dayofmonth(F.to_date("date")) % 5 == 0, LATER)):
+        jobs.land_interest(catalog, rows.filter(some), F.col("term"), F.col("window_start"), 1, at)
+    return catalog.read("bronze.interest").select("term", "window_start", "d", "interest", (F.col("datetime_update") == F.lit(LATER)).alias("is_new"))
+
+
 @registered(
     query(
         """SELECT table_name, check_name, n_rows, n_failing FROM (
