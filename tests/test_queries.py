@@ -9,7 +9,7 @@ from marlspike.plans import catalogue
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 #: Queries that join a side of one row (bounds, a gate), which needs no key.
-ONE_ROW_SIDES = {"experiment_grid", "newey_west", "overfit_probability", "overfit_probability_20", "signal_checks", "signal_checks_faults"}
+ONE_ROW_SIDES = {"experiment_grid", "experiment_ledger", "newey_west", "overfit_probability", "overfit_probability_20", "signal_checks", "signal_checks_faults"}
 
 
 #: Queries that need more weeks than the smallest tables have.
