@@ -34,15 +34,17 @@ def conform_daily(sources: Mapping[int, DataFrame], priority: DataFrame, start:
     Every source has ``symbol``, ``d``, the four prices and ``volume``; ``priority`` has ``source_id`` and ``priority``.
     """
     wanted = ["symbol", "d", "open", "high", "low", "close", "volume"]
+    # The order of the sources is known before any bar is read: a row a source of ``sources``.
+    known = {p["source_id"]: p["priority"] for p in priority.filter(F.col("source_id").isin(list(sources))).select("source_id", "priority").collect()}
+    order = sorted(sources, key=lambda i: (known.get(i) is None, -(known.get(i) or 0), i))
     every: DataFrame | None = None
     for source_id, df in sources.items():
-        branch = df.select(*wanted, F.lit(source_id).alias("source_id"))
+        branch = df.select(*wanted, F.lit(source_id).alias("source_id"), F.lit(order.index(source_id)).alias("_rank"))
         branch = branch.filter(F.col("d") >= F.lit(start)) if start else branch
         branch = branch.filter(F.col("d") <= F.lit(end)) if end else branch
         every = branch if every is None else every.unionByName(branch)
-    ranked = every.join(priority, "source_id", "left")
-    best = Window.partitionBy("symbol", "d").orderBy(F.col("priority").desc_nulls_last(), "source_id")
-    one = ranked.withColumn("_n", F.row_number().over(best)).filter("_n = 1").drop("_n", "priority")
+    best = Window.partitionBy("symbol", "d").orderBy("_rank")
+    one = every.withColumn("_n", F.row_number().over(best)).filter("_n = 1").drop("_n", "_rank")
     midnight = F.col("d").cast("timestamp")
     return one.select("*", midnight.alias("period_start"), (midnight + F.expr("interval 86399 seconds")).alias("period_end"))
 
