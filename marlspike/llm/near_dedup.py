@@ -1,17 +1,22 @@
-"""Near copies by the exact five-word Jaccard similarity (the pipeline's near-dedup stage).
+"""Near copies by SimHash, deletion-variant signatures and the exact five-word Jaccard similarity (the pipeline's near-dedup stage).
 
 Two texts are near copies where the sets of their five-word shingles (lower-cased words) have a
-Jaccard similarity of ``LEAST`` or more.  Candidates come from operator 9's index, deletion
-variants: a signature is cut into segments, each segment is indexed under its variants with one
-position blotted out, variants are joined on equality, and every candidate is verified, here on
-the whole sets.  The 64 bits of a SimHash cannot carry that index at a similarity of 0.8, where
-about ten of them are expected to differ; so the signature is wider, and its positions are
-min-wise hashes, which agree with the similarity's own probability.  Of ``SEGMENTS`` segments of
-``SYMBOLS`` positions a pair at 0.8 has one that differs in one position at most with probability
-1 - (1 - 0.8^5 - 5 * 0.8^4 * 0.2)^8 = 0.99998.
+Jaccard similarity of ``LEAST`` or more.  Candidates come from operator 9's method.  A text's
+fingerprint is the SimHash of its shingles: a bit is 1 if it is set in over half of their hashes.
+It is cut into segments, each segment is indexed under its deletion variants, which have one
+position blotted out, variants are joined on equality, and every candidate is verified, in the
+end on the whole sets.
+
+Operator 9 links at three of 64 bits.  Two sets at ``LEAST`` differ in 15 % of all bits, about ten
+of 64, so this fingerprint is wider and has more segments (:func:`layout`): 81 of five positions of
+five bits up to 2^24 rows.  A segment of such a pair differs in one position at most with
+probability 0.12, so the pair shares a variant with probability 0.9998 or more, whatever the
+sets' sizes.  That wants twice the segments for the shortest sets, where even votes make bits less
+steady, and none for those of fewer than four shingles, which equal sets only are near.
 
 No candidate of that index is lost in a crowded bucket.  In one of more than ``BUCKET`` sets each is
-compared with the bucket's head.  Where that leaves a bucket in several components, its members
+compared with the bucket's head.  Where that leaves a bucket in several components, members outside
+its largest are compared with all of it if they are few.  Otherwise its members
 are joined again, exactly, by prefix filtering: two sets at ``LEAST`` share one of the rarest fifth
 of either's shingles.  What shares a rare shingle with few is paired; what is crowded even there is
 cut into blocks of bounded bytes, and blocks that can hold a missing link are compared as a
@@ -25,6 +30,9 @@ columns are returned.
 
 from __future__ import annotations
 
+import functools
+import itertools
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -35,19 +43,28 @@ from pyspark.sql import functions as F
 
 from marlspike.llm.common import chunked, materialise, row_key, scratch
 from marlspike.llm.components import components
+from marlspike.llm.simhash import votes
 
 WORDS, LEAST = 5, (4, 5)
-SEGMENTS, SYMBOLS = 8, 5
+#: Positions of a segment, one of which a variant blots out.
+POSITIONS = 5
+#: Share of a fingerprint's bits in which two large sets at ``LEAST`` differ: the angle between them, of a half turn.
+DIFFER = math.acos(2 * LEAST[0] / (LEAST[0] + LEAST[1])) / math.pi
+#: Candidates lost at ``LEAST``, at most, of large sets (small ones: the docstring above).
+LOST = 3e-5
+#: Sets that have no near copy but themselves have fewer shingles; sets of twice the segments have at most as many.
+LONE, SHORT = 4, 15
+#: Bits of the first 128, and share of all bits, in which candidates may differ: far above what sets at ``LEAST`` do.
+FAR, FAR_SHARE = 44, 0.25
+#: Segments that are indexed at a time.
+PASS = 20
 #: Sets of a bucket up to which they are paired directly.
-BUCKET = 32
+BUCKET = 64
 #: Sets and shingles of a block, on average, that is compared as a whole.
 BLOCK, BLOCK_SHINGLES = 256, 1 << 18
 #: Counters by which shingles are put in order.
 SLOTS = 1 << 20
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-_draw = np.random.default_rng(42)
-_XOR = _draw.integers(0, 1 << 64, SEGMENTS * SYMBOLS, np.uint64)
-_ODD = _draw.integers(0, 1 << 64, SEGMENTS * SYMBOLS, np.uint64) | np.uint64(1)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -79,35 +96,72 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return both * below >= top * (len(a) + len(b) - both)
 
 
-def signature(found: np.ndarray) -> np.ndarray:
-    """Min-wise hashes of a shingle set."""
-    least = np.full(len(_ODD), np.iinfo(np.uint64).max, np.uint64)
-    for a in range(0, len(found), 2048):
-        part = found[a : a + 2048, None] ^ _XOR
-        part *= _ODD
-        np.minimum(least, part.min(axis=0), out=least)
-    return least
+def layout(rows: int) -> tuple[int, int]:
+    """Segments of a fingerprint and bits of a position: unlike texts leave about 16 rows or fewer to a bucket."""
+    width = max(5, math.ceil((math.log2(max(rows, 2)) - 4) / (POSITIONS - 1)))
+    same = (1 - DIFFER) ** width
+    meets = same**POSITIONS + POSITIONS * same ** (POSITIONS - 1) * (1 - same)
+    return math.ceil(math.log(LOST) / math.log1p(-meets)), width
 
 
-def variant_keys(symbols: np.ndarray) -> np.ndarray:
-    """Keys of the segments of signatures (a row each), every segment with one position blotted out in turn."""
-    cells = symbols.reshape(-1, SEGMENTS, SYMBOLS)
-    key = np.broadcast_to(np.arange(1, SEGMENTS * SYMBOLS + 1, dtype=np.uint64).reshape(SEGMENTS, SYMBOLS), cells.shape)
-    left = np.array([[at for at in range(SYMBOLS) if at != gone] for gone in range(SYMBOLS)])
-    for k in range(SYMBOLS - 1):
-        key = _mixed(key) + cells[:, :, left[:, k]]
-    return _mixed(key).reshape(len(symbols), -1)
+def _words(segments: int, width: int) -> int:
+    return -(-segments * POSITIONS * width // 64)
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for batch in chunked(whole, "_text"):
-            sets = [shingle_set(t or b"") for t in batch.column("_text").cast(pa.binary()).to_pylist()]
-            node = np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
-            keys = variant_keys(np.stack([signature(s) for s in sets])).view(np.int64)
-            keep = [k for k in batch.schema.names if k != "_text"]
-            more = [pa.array(node), pa.array([len(s) for s in sets], pa.int32()), pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel()), keys.shape[1]).cast(pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), *more], [*keep, "node", "size", "keys"])
+@functools.cache
+def _draws(words: int) -> tuple[np.ndarray, np.ndarray]:
+    draw = np.random.default_rng(42).integers(0, 1 << 64, (words, 2), np.uint64)
+    return draw[:, 0], draw[:, 1] | np.uint64(1)
+
+
+def bit_hashes(found: np.ndarray, words: int) -> np.ndarray:
+    """``words`` independent 64-bit hashes of each shingle (a row each)."""
+    xor, odd = _draws(words)
+    h = found[:, None] ^ xor
+    h *= odd
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0x94D049BB133111EB)
+    h ^= h >> np.uint64(32)
+    return h
+
+
+def fingerprint(found: np.ndarray, words: int) -> np.ndarray:
+    """SimHash of a shingle set, 64 bits a word."""
+    on = np.zeros(64 * words, np.int64)
+    for x in range(0, len(found), 255):
+        on += votes(bit_hashes(found[x : x + 255], words))
+    return np.packbits(2 * on > len(found), bitorder="little").view("<u8")
+
+
+def variant_keys(prints: np.ndarray, first: int, last: int, width: int) -> np.ndarray:
+    """Variants of segments ``first`` to ``last`` of fingerprints (a row each): segment, blotted position and the other positions' bits."""
+    size = POSITIONS * width
+    at = slice(first * size // 64, -(-last * size // 64))
+    bits = np.unpackbits(np.ascontiguousarray(prints[:, at]).view(np.uint8), axis=1, bitorder="little")
+    skip = first * size - 64 * at.start
+    bits = bits[:, skip : skip + (last - first) * size].reshape(len(prints), last - first, size)
+    whole = bits @ (np.int64(1) << np.arange(size, dtype=np.int64))
+    mask = np.array([((1 << width) - 1) << width * gone for gone in range(POSITIONS)], np.int64)
+    name = np.arange(first * POSITIONS, last * POSITIONS, dtype=np.int64).reshape(-1, POSITIONS)
+    return (name << size | (whole[:, :, None] & ~mask)).reshape(len(prints), -1)
+
+
+def _sketch(segments: int, width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``node`` (a hash of the shingle set), ``size``, ``print`` and, of short sets, ``more``, their second half of segments."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _words(segments, width)
+        for whole in batches:
+            for batch in chunked(whole, "_text"):
+                sets = [shingle_set(t or b"") for t in batch.column("_text").cast(pa.binary()).to_pylist()]
+                node = np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
+                prints = [fingerprint(s, (1 + (len(s) <= SHORT)) * words) for s in sets]
+                keep = [k for k in batch.schema.names if k != "_text"]
+                more = [pa.array(node), pa.array([len(s) for s in sets], pa.int32())]
+                more += [pa.array([p[a:b].tobytes() for p in prints], pa.binary()) for a, b in ((0, words), (words, None))]
+                yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), *more], [*keep, "node", "size", "print", "more"])
+
+    return run
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,20 +177,103 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
-def _candidates(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs (``a`` < ``b``) of the buckets of ``members`` (``key``, ``node``, ``size``), and the members of the crowded ones."""
-    mask = F.xxhash64("key")  # a head of its own for each bucket
-    count = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.col("node").bitwiseXOR(mask)).alias("m"))
-    count = count.filter("n > 1").select("key", "n", F.col("m").bitwiseXOR(mask).alias("head"))
-    full = materialise(members.join(count, "key"), "buckets")
-    few = full.filter(F.col("n") <= BUCKET).select("key", "node", "size")
-    other = few.select("key", F.col("node").alias("b"), F.col("size").alias("size2"))
+def _variants(first: int, last: int, width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for x in range(0, whole.num_rows, 1024):
+                batch = whole.slice(x, 1024)
+                node, second = batch.column("node").to_numpy(), batch.column("second").to_numpy(zero_copy_only=False)
+                prints = np.frombuffer(b"".join(batch.column("print").to_pylist()), np.uint64).reshape(len(node), -1)
+                keys = variant_keys(prints, first, last, width)
+                keys |= second[:, None].astype(np.int64) << 62  # the second half's segments are others
+                n = keys.shape[1]
+                rest = [batch.column("f1").to_numpy(), batch.column("f2").to_numpy()]
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *(pa.array(np.repeat(c, n)) for c in (node, *rest))], ["key", "node", "f1", "f2"])
+
+    return run
+
+
+def _meet(most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of rows in order of ``key`` and ``node``, the close pairs of each bucket; of one of over ``most`` rows, every row with the head and its key."""
+    names = ["key", "node", "f1", "f2"]
+
+    def crowded(key: np.ndarray, node: np.ndarray, f1: np.ndarray, f2: np.ndarray, head: np.ndarray | int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (node, np.broadcast_to(head, node.shape).copy(), key, f1, f2)], ["a", "b", *names[:1], *names[2:]])
+
+    def closed(key: np.ndarray, node: np.ndarray, f1: np.ndarray, f2: np.ndarray) -> Iterator[pa.RecordBatch]:
+        start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        size = np.diff(np.append(start, len(key)))
+        end, big = np.repeat(start + size, size), np.repeat(size > most, size)
+        if big.any():
+            yield crowded(*(c[big] for c in (key, node, f1, f2)), np.repeat(node[start], size)[big])
+        x = np.flatnonzero(~big)
+        for d in itertools.count(1):
+            x = x[x + d < end[x]]
+            if not len(x):
+                return
+            y = x + d
+            near = sum(np.bitwise_count((f[x] ^ f[y]).view(np.uint64)) for f in (f1, f2)) <= FAR
+            pairs, none = [pa.array(node[x[near]]), pa.array(node[y[near]])], pa.nulls(int(near.sum()), pa.int64())
+            if len(none):
+                yield pa.RecordBatch.from_arrays([*pairs, none, none, none], ["a", "b", *names[:1], *names[2:]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [np.zeros(0, np.int64)] * 4
+        opened = None  # key and head of a crowded bucket that goes on
+        for batch in itertools.chain(batches, [None]):
+            if batch is not None:
+                rows = [np.concatenate([c, batch.column(k).to_numpy()]) for c, k in zip(rows, names)]
+            if opened and len(rows[0]):
+                lead = int(np.searchsorted(rows[0], opened[0], "right"))
+                if lead:
+                    yield crowded(*(c[:lead] for c in rows), opened[1])
+                rows = [c[lead:] for c in rows]
+                opened = None if len(rows[0]) else opened
+            if not len(rows[0]):
+                continue
+            last = len(rows[0]) if batch is None else int(np.searchsorted(rows[0], rows[0][-1]))
+            if last:
+                yield from closed(*(c[:last] for c in rows))
+                rows = [c[last:] for c in rows]
+            if len(rows[0]) > most:
+                opened = rows[0][0], rows[1][0]
+                yield crowded(*rows, opened[1])
+                rows = [c[:0] for c in rows]
+
+    return run
+
+
+def _met(prints: DataFrame, segments: int, width: int) -> DataFrame:
+    """Pairs (``a``, ``b``) that share a variant, and members ``a`` of crowded buckets with the head ``b`` and ``key``."""
+    word = lambda k: F.conv(F.hex(F.substring("print", 8 * k + 1, 8)), 16, -10).cast("long")
+    some = prints.filter(F.col("size") >= LONE).select("node", "size", "print", "more", word(0).alias("f1"), word(1).alias("f2"))
+    halves = some.select("node", "f1", "f2", "print", F.lit(False).alias("second"))
+    more = some.filter(F.col("size") <= SHORT).select("node", "f1", "f2", F.col("more").alias("print"), F.lit(True).alias("second"))
+    halves = materialise(halves.unionByName(more), "halves")
+    out = []
+    for first in range(0, segments, PASS):  # in turn, so that a part of the variants is on disk at a time
+        keys = halves.mapInArrow(_variants(first, min(first + PASS, segments), width), "key long, node long, f1 long, f2 long")
+        keys = keys.repartition("key").sortWithinPartitions("key", "node")
+        out.append(materialise(keys.mapInArrow(_meet(BUCKET), "a long, b long, key long, f1 long, f2 long"), "met"))
+    return functools.reduce(DataFrame.unionByName, out)
+
+
+def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("print_a", "print_b"))
+            apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            yield batch.select(["a", "b"]).filter(pa.array(apart <= FAR_SHARE * 64 * x.shape[1]))
+
+
+def _likely(pairs: DataFrame, prints: DataFrame) -> DataFrame:
+    """The pairs, once each, whose sizes and whole fingerprints allow a similarity of ``LEAST``."""
     top, below = LEAST
-    near = F.least("size", "size2") * below >= F.greatest("size", "size2") * top
-    pairs = few.join(other, "key").filter((F.col("node") < F.col("b")) & near).select(F.col("node").alias("a"), "b")
-    crowd = full.filter(F.col("n") > BUCKET)
-    star = crowd.filter("node != head").select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b"))
-    return pairs.unionByName(star).distinct(), crowd.select("key", "node", "size")
+    sides = [prints.select(F.col("node").alias(c), F.col("size").alias(f"size_{c}"), F.col("print").alias(f"print_{c}")) for c in ("a", "b")]
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a != b").distinct()
+    near = F.least("size_a", "size_b") * below >= F.greatest("size_a", "size_b") * top
+    whole = pairs.join(sides[0], "a").join(sides[1], "b").filter(near)
+    return whole.select("a", "b", "print_a", "print_b").mapInArrow(_close, "a long, b long")
 
 
 def _whole_sets(nodes: DataFrame, rows: DataFrame, docs: DataFrame) -> DataFrame:
@@ -260,17 +397,34 @@ def _exact(left: DataFrame, sets: DataFrame, rows: DataFrame, docs: DataFrame) -
     return found if crowd.isEmpty() else found.unionByName(_in_blocks(crowd, sets))
 
 
-def near_links(rows: DataFrame, docs: DataFrame) -> DataFrame:
+def _rooted(crowd: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of the crowded buckets that ``found`` leaves in several components, with ``root`` and the bucket's largest, ``main``."""
+    crowd = crowd.join(components(found).withColumnRenamed("node", "a"), "a", "left").withColumn("root", F.coalesce("root", "a"))
+    by_root = crowd.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    split = by_root.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), (F.sum("n") - F.max("n")).alias("others"), F.count(F.lit(1)).alias("roots"))
+    return materialise(crowd.join(split.filter("roots > 1").drop("roots"), "key"), "split")
+
+
+def near_links(rows: DataFrame, docs: DataFrame, segments: int, width: int) -> DataFrame:
     """Links (``a``, ``b``) of the distinct sets of ``rows`` that join all near copies among the index's candidates."""
-    members = rows.select("node", "size", F.explode("keys").alias("key")).distinct()
-    pairs, crowd = _candidates(members)
-    found = _verified(pairs, rows, docs)
+    prints = materialise(rows.select("node", "size", "print", "more").dropDuplicates(["node"]), "prints")
+    met = _met(prints, segments, width)
+    found = _verified(_likely(met, prints), rows, docs)
+    crowd = met.filter("key is not null")
     if crowd.isEmpty():
         return found
-    # Crowded buckets that the heads have left in several components.
-    crowd = crowd.join(components(found), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    split = crowd.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).filter("r != s").select("key")
-    left = materialise(crowd.join(split, "key", "left_semi").select("node", "root", "size").distinct(), "left")
+    # Crowded buckets that the heads have left in several components: strangers in a cluster's bucket are few.
+    split = _rooted(crowd, found)
+    few = split.filter(F.col("others") <= BUCKET).drop("b")
+    other = few.filter("root != main").select("key", F.col("a").alias("b"), F.col("root").alias("root2"), F.col("f1").alias("g1"), F.col("f2").alias("g2"))
+    apart = F.bit_count(F.col("f1").bitwiseXOR(F.col("g1"))) + F.bit_count(F.col("f2").bitwiseXOR(F.col("g2")))
+    pairs = few.join(other, "key").filter((F.col("root") != F.col("root2")) & (apart <= FAR)).select("a", "b")
+    found = found.unionByName(_verified(_likely(pairs, prints), rows, docs))
+    many = split.filter(F.col("others") > BUCKET)
+    if many.isEmpty():
+        return found
+    left = _rooted(many.select("a", "key"), found).select(F.col("a").alias("node"), "root").distinct()
+    left = materialise(left.join(prints.select("node", "size"), "node"), "left")
     if left.isEmpty():
         return found
     return found.unionByName(_exact(left, _whole_sets(left.select("node"), rows, docs), rows, docs))
@@ -282,8 +436,10 @@ def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kind = df.schema[id_col].dataType.simpleString()
     src = df.select(F.col(id_col).alias("_id"), *row_key(id_col, text), text.alias("_text"))
     with scratch(df.sparkSession):
-        rows = materialise(src.mapInArrow(_sketch, f"_id {kind}, _k1 long, _k2 long, node long, size int, keys array<long>"), "sketches")
-        roots = components(near_links(rows, src.select("_k1", "_k2", "_text")))
+        segments, width = layout(df.count())
+        schema = f"_id {kind}, _k1 long, _k2 long, node long, size int, print binary, more binary"
+        rows = materialise(src.mapInArrow(_sketch(segments, width), schema), "sketches")
+        roots = components(near_links(rows, src.select("_k1", "_k2", "_text"), segments, width))
         named = rows.select("_id", "_k1", "_k2", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         best = named.groupBy("root").agg(F.min(F.struct(F.col("_id").isNull(), F.col("_id"), "_k1", "_k2")).alias("b"))
         kept = materialise(best.select("b._k1", "b._k2"), "kept", outlive=True)

@@ -34,6 +34,12 @@ DISTANCE = 3
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
+def votes(hashes: np.ndarray) -> np.ndarray:
+    """How many of at most 255 hashes (a row each, of one or more 64-bit words) have each bit set."""
+    bits = np.unpackbits(hashes.astype("<u8", copy=False).view(np.uint8), axis=1, bitorder="little")
+    return bits.sum(axis=0, dtype=np.uint8)
+
+
 def _fold(hashes: np.ndarray) -> int:
     bits = np.unpackbits(hashes.astype("<u8", copy=False).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     on = 2 * bits.sum(axis=0, dtype=np.int64) > len(hashes)

@@ -2,6 +2,9 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
+
 from marlspike.llm import near_dedup
 
 
@@ -64,3 +67,37 @@ def test_crowded_buckets_are_split_again(spark, monkeypatch):
     rows = _rows()
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(r["doc_id"] for r in near_dedup.drop_near_copies(df).collect()) == _kept(rows)
+
+
+def test_fingerprint_is_the_simhash_of_the_shingles():
+    found = near_dedup.shingle_set(" ".join(f"w{k}" for k in range(300)).encode())
+    assert len(found) > 255
+    hashes = near_dedup.bit_hashes(found, 3).tolist()
+    want = [sum((2 * sum(row[w] >> b & 1 for row in hashes) > len(found)) << b for b in range(64)) for w in range(3)]
+    assert near_dedup.fingerprint(found, 3).tolist() == want
+
+
+def test_near_copies_share_a_deletion_variant():
+    segments, width = near_dedup.layout(1000)
+    words = near_dedup._words(segments, width)
+    rng = np.random.default_rng(5)
+    for shared, one, two, pairs in ((4, 1, 0, 100), (12, 2, 1, 100), (20, 3, 2, 100), (160, 20, 20, 200), (160, 40, 0, 200)):
+        for _ in range(pairs):
+            h = rng.integers(0, 1 << 64, shared + one + two, np.uint64)
+            x, y = h[: shared + one], np.concatenate([h[:shared], h[shared + one :]])
+            n = words * (1 + (max(len(x), len(y)) <= near_dedup.SHORT))
+            prints = np.stack([near_dedup.fingerprint(s, n) for s in (x, y)])
+            assert np.bitwise_count(prints[0, :2] ^ prints[1, :2]).sum() <= near_dedup.FAR
+            keys = [near_dedup.variant_keys(prints[:, a : a + words], 0, segments, width) for a in range(0, n, words)]
+            assert any(set(k[0].tolist()) & set(k[1].tolist()) for k in keys)
+
+
+def test_buckets_that_batches_cut_are_whole():
+    sizes = [1, 2, 3, 1, 30, 4, 1, 25, 1, 2]
+    key = np.repeat(np.arange(len(sizes)), sizes)
+    rows = pa.table({"key": key, "node": np.arange(len(key)), "f1": np.full(len(key), -1), "f2": np.zeros(len(key), np.int64)})
+    pairs = {(x, y, None) for x in range(len(key)) for y in range(x + 1, len(key)) if key[x] == key[y] and sizes[key[x]] <= 4}
+    heads = {(x, int(np.searchsorted(key, key[x])), int(key[x])) for x in range(len(key)) if sizes[key[x]] > 4}
+    for cut in (1, 3, 7, 100):
+        out = [r for b in near_dedup._meet(4)(iter(rows.to_batches(cut))) for r in b.to_pylist()]
+        assert {(r["a"], r["b"], r["key"]) for r in out} == pairs | heads and len(out) == len(pairs | heads)
