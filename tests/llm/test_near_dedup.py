@@ -101,3 +101,53 @@ def test_buckets_that_batches_cut_are_whole():
     for cut in (1, 3, 7, 100):
         out = [r for b in near_dedup._meet(4)(iter(rows.to_batches(cut))) for r in b.to_pylist()]
         assert {(r["a"], r["b"], r["key"]) for r in out} == pairs | heads and len(out) == len(pairs | heads)
+
+
+def test_near_copies_share_a_variant_in_a_cell():
+    segments, width = near_dedup.layout(1000)
+    words = near_dedup._words(segments, width)
+    count, bits = near_dedup.tables(1000, segments, width)
+    rng = np.random.default_rng(6)
+    for shared, one, two, pairs in ((4, 1, 0, 60), (12, 2, 1, 60), (20, 3, 2, 60), (160, 20, 20, 100), (160, 40, 0, 100)):
+        for _ in range(pairs):
+            h = rng.integers(0, 1 << 64, shared + one + two, np.uint64)
+            x, y = h[: shared + one], np.concatenate([h[:shared], h[shared + one :]])
+            n = words * (1 + (max(len(x), len(y)) <= near_dedup.SHORT))
+            prints = np.stack([near_dedup.fingerprint(s, n) for s in (x, y)])
+            assert near_dedup.may_match(prints[:1, :words], prints[1:, :words], np.array([min(len(x), len(y))])).all()
+
+            def meet(half, table):
+                if len(set(near_dedup._cells_of(half, table, segments, bits, width).tolist())) > 1:
+                    return False
+                keys = [near_dedup.variant_keys(half, s, s + 1, width) for s in near_dedup.drawn(table, segments, bits, width)[0]]
+                return any(set(k[0].tolist()) & set(k[1].tolist()) for k in keys)
+
+            assert any(meet(prints[:, a : a + words], t) for a in range(0, n, words) for t in range(count))
+
+
+def test_cells_that_batches_cut_are_whole():
+    cell = np.repeat(np.arange(6), [3, 1, 40, 2, 25, 1])
+    rows = pa.table({"cell": cell, "node": np.arange(len(cell))})
+    for cut in (1, 3, 7, 100):
+        seen = []
+        list(near_dedup._each_cell(lambda t: seen.append((t["cell"].to_pylist(), t["node"].to_pylist())) or [])(iter(rows.to_batches(cut))))
+        assert seen == [(cell[cell == c].tolist(), np.flatnonzero(cell == c).tolist()) for c in range(6)]
+
+
+def test_large_groups_are_not_verified_pair_by_pair(spark, monkeypatch):
+    rng = random.Random(9)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    base, other = rng.choices(vocabulary, k=300), rng.choices(vocabulary, k=240)
+    texts = [_edited(rng, base, rng.randrange(1, 4)) for _ in range(150)]  # near copies
+    texts += [" ".join(other + rng.choices(vocabulary, k=64)) for _ in range(150)]  # alike at about 0.65, which is too little
+    verified, counts = near_dedup._verified, []
+
+    def counted(pairs, *rest):
+        counts.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(near_dedup, "_verified", counted)
+    rows = list(enumerate(texts))
+    got = near_dedup.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r["doc_id"] for r in got.collect()) == _kept(rows)
+    assert sum(counts) < 10 * len(rows), counts
